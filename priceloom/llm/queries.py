@@ -2,29 +2,38 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from priceloom.llm import mixing, sharding
+from priceloom.llm import bpe, mixing, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = mixing.materialize(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "mix-sizes")
     return mixing.mix_sources(sized).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op10_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = sharding.even_tree(16)
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), tree, sharding.grow(tree, 16))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_mix_sources, op10_shard_documents)}
+    return {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_bpe_round_trip, op10_shard_documents)}
 
 
 def oracle_sql() -> dict[str, str]:
