@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from priceloom.llm import bpe, mixing, sharding
+from priceloom.llm import bpe, language, mixing, sharding, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,13 +27,28 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = language.held_out(F.col("doc_id"))
+    model = language.fit(docs.filter(~out))
+    return language.predict(docs.select("doc_id", out.alias("held_out"), "text"), model).drop("text")
+
+
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.archive_path(spark)
+    warc.write_pages(_table(spark, sf_dir, "pages"), path)
+    back = warc.read_records(spark, path, payload=False).filter(F.col("record_type").isin("response", "revisit"))
+    page = lambda c: F.expr(f"try_cast(substring({c}, length('urn:page:') + 1) AS bigint)")
+    return back.select(page("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"), "payload_digest", "record_type", page("refers_to").alias("refers_to"))
+
+
 def op10_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = sharding.even_tree(16)
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), tree, sharding.grow(tree, 16))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_bpe_round_trip, op10_shard_documents)}
+    return {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_bpe_round_trip, op6_language, op7_warc_round_trip, op10_shard_documents)}
 
 
 def oracle_sql() -> dict[str, str]:
