@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from priceloom.llm import bpe, language, mixing, sharding, warc
+from priceloom.llm import bitslice, bpe, language, mixing, neighbours, sharding, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = language.held_out(F.col("doc_id"))
@@ -42,13 +46,17 @@ def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(page("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"), "payload_digest", "record_type", page("refers_to").alias("refers_to"))
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op10_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = sharding.even_tree(16)
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), tree, sharding.grow(tree, 16))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_bpe_round_trip, op6_language, op7_warc_round_trip, op10_shard_documents)}
+    return {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_bpe_round_trip, op5_nearest_neighbours, op6_language, op7_warc_round_trip, op9_exact_top_k, op10_shard_documents)}
 
 
 def oracle_sql() -> dict[str, str]:
