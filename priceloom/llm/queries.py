@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from priceloom.llm import bitslice, bpe, language, mixing, neighbours, sharding, warc
+from priceloom.llm import bitslice, bpe, language, minhash, mixing, neighbours, sharding, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
@@ -56,7 +60,7 @@ def op10_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_bpe_round_trip, op5_nearest_neighbours, op6_language, op7_warc_round_trip, op9_exact_top_k, op10_shard_documents)}
+    return {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_bpe_round_trip, op4_near_duplicates, op5_nearest_neighbours, op6_language, op7_warc_round_trip, op9_exact_top_k, op10_shard_documents)}
 
 
 def oracle_sql() -> dict[str, str]:
