@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from priceloom.llm import bitslice, bpe, language, minhash, mixing, neighbours, sharding, warc
+from priceloom.llm import bitslice, bpe, language, minhash, mixing, neighbours, sharding, suffix, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(page("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"), "payload_digest", "record_type", page("refers_to").alias("refers_to"))
 
 
+def op8_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(_table(spark, sf_dir, "documents"), length=200, keep="none", digest=True)
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
@@ -60,7 +64,7 @@ def op10_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_bpe_round_trip, op4_near_duplicates, op5_nearest_neighbours, op6_language, op7_warc_round_trip, op9_exact_top_k, op10_shard_documents)}
+    return {f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_bpe_round_trip, op4_near_duplicates, op5_nearest_neighbours, op6_language, op7_warc_round_trip, op8_repeated_strings, op9_exact_top_k, op10_shard_documents)}
 
 
 def oracle_sql() -> dict[str, str]:
