@@ -366,3 +366,17 @@ class _Stitch:
         if self.held:
             self._out(self.held[2])
         return (self.n, self.ids_sha.hexdigest(), self.raw_sha.hexdigest()) if self.digest else (b"".join(self.all),)
+
+
+def decode_documents(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """id, n_tokens, ids, decoded_sha256 of packed ids: the raw bytes of the ids, concatenated, and their digest."""
+    id_type = encoded.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        schema = None
+        for b in slices(batches):
+            schema = schema or pa.schema([pa.field("id", b.schema.field(0).type), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded_sha256", pa.string())])
+            ids = [i or b"" for i in b.column(1).to_pylist()]
+            yield batch(schema, b.column(0), [len(i) // 4 for i in ids], ids, [hashlib.sha256(decode(i, ranks)).hexdigest() for i in ids])
+
+    return encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(run, f"id {id_type}, n_tokens long, ids binary, decoded_sha256 string").withColumnRenamed("id", id_col)

@@ -235,3 +235,10 @@ def _crossing(members: DataFrame, parts: DataFrame, nodes: DataFrame, percent: i
 
     groups = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
     return groups.mapInArrow(compare, "a long, b long").distinct()
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates, that of the smallest id; rows without an id stay."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
+    gone = found.filter(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct()
+    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
