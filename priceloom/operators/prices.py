@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 
 from priceloom.views import Relations, rounded, since
 
-_LATEST = [F.col("collected_at").desc(), F.col("obs_id").desc()]
-_BY_LISTING = Window.partitionBy("source_product_id").orderBy("collected_at", "obs_id")
+
+def _latest() -> list[Column]:
+    return [F.col("collected_at").desc(), F.col("obs_id").desc()]
+
+
+def _by_listing():
+    return Window.partitionBy("source_product_id").orderBy("collected_at", "obs_id")
 
 
 def page(df: DataFrame, order: list[Column], number: int = 1, size: int = 20) -> DataFrame:
@@ -28,7 +33,7 @@ def with_listing(df: DataFrame, r: Relations, products: bool = False) -> DataFra
 
 def latest_per_listing(observations: DataFrame) -> DataFrame:
     """The last observation of each listing; of equal times, that of the larger id.  One shuffle, with partial top-1 before it."""
-    w = Window.partitionBy("source_product_id").orderBy(*_LATEST)
+    w = Window.partitionBy("source_product_id").orderBy(*_latest())
     return observations.withColumn("__rank", F.row_number().over(w)).filter("__rank = 1").drop("__rank")
 
 
@@ -39,7 +44,7 @@ def latest_observation(r: Relations, source_id: int | None = None, product_id: i
     if product_id is not None:
         listings = listings.filter(F.col("product_id") == product_id)
     out = latest_per_listing(r.observations).join(listings, "source_product_id").join(r.sources, "source_id").join(r.products, "product_id")
-    return out.orderBy(*_LATEST, "source_product_id").limit(limit)
+    return out.orderBy(*_latest(), "source_product_id").limit(limit)
 
 
 def price_history(r: Relations, source_product_id: int, start: Column | None = None, end: Column | None = None) -> DataFrame:
@@ -61,7 +66,7 @@ def price_changes_in_window(r: Relations, days_back: int, source_product_id: int
     rows = r.observations.filter(F.col("collected_at") >= since(days_back))
     if source_product_id is not None:
         rows = rows.filter(F.col("source_product_id") == source_product_id)
-    rows = rows.withColumn("prev_price", F.lag("price").over(_BY_LISTING)).filter("prev_price IS NOT NULL")
+    rows = rows.withColumn("prev_price", F.lag("price").over(_by_listing())).filter("prev_price IS NOT NULL")
     absolute, percent = change(F.col("price"), F.col("prev_price"), F.col("prev_price") > 0)
     return with_listing(rows, r).withColumns({"price_change_absolute": absolute, "price_change_percent": percent})
 
@@ -71,7 +76,7 @@ def price_changes_over_history(r: Relations, from_date: Column | None = None, so
     rows = r.observations
     if source_product_id is not None:
         rows = rows.filter(F.col("source_product_id") == source_product_id)
-    rows = rows.withColumns({"prev_price": F.lag("price").over(_BY_LISTING), "prev_currency": F.lag("currency").over(_BY_LISTING)})
+    rows = rows.withColumns({"prev_price": F.lag("price").over(_by_listing()), "prev_currency": F.lag("currency").over(_by_listing())})
     if from_date is not None:
         rows = rows.filter(F.col("collected_at") >= from_date)
     absolute, percent = change(F.col("price"), F.col("prev_price"), F.col("prev_price").isNotNull() & (F.col("currency") == F.col("prev_currency")))
@@ -193,4 +198,4 @@ def product_detail(r: Relations, product_id: int) -> DataFrame:
 
 def product_observations(r: Relations, product_id: int, number: int = 1, size: int = 20) -> DataFrame:
     mine = r.listings.filter(F.col("product_id") == product_id).select("source_product_id")
-    return page(r.observations.join(mine, "source_product_id", "left_semi"), _LATEST, number, size)
+    return page(r.observations.join(mine, "source_product_id", "left_semi"), _latest(), number, size)

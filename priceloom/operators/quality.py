@@ -21,7 +21,8 @@ def _result(name: str, severity: str, passed: Column, checked: Column, failed: C
     return F.struct(F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), passed.alias("passed"), checked.cast("long").alias("records_checked"), failed.cast("long").alias("failed_records"), message.alias("message"))
 
 
-_ROWS = F.count(F.lit(1))
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 @dataclass(frozen=True)
@@ -33,8 +34,8 @@ class RequiredFields:
 
     def result(self, df: DataFrame) -> Column:
         gone = [c for c in self.columns if c not in df.columns]
-        bad = _ROWS if gone else F.count_if(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in self.columns]))
-        return _result(self.name, "error", bad == 0, _ROWS, bad, F.lit("missing columns: " + ",".join(gone)) if gone else F.concat(bad.cast("string"), F.lit(" rows with nulls")))
+        bad = _rows() if gone else F.count_if(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in self.columns]))
+        return _result(self.name, "error", bad == 0, _rows(), bad, F.lit("missing columns: " + ",".join(gone)) if gone else F.concat(bad.cast("string"), F.lit(" rows with nulls")))
 
 
 @dataclass(frozen=True)
@@ -49,7 +50,7 @@ class PriceRange:
     def result(self, df: DataFrame) -> Column:
         low = F.count_if(F.col(self.column) < self.least)
         high = F.count_if(F.col(self.column) > self.most) if self.most is not None else F.lit(0)
-        return _result(self.name, "error", low + high == 0, _ROWS, low + high, F.concat(low.cast("string"), F.lit(" below, "), high.cast("string"), F.lit(" above")))
+        return _result(self.name, "error", low + high == 0, _rows(), low + high, F.concat(low.cast("string"), F.lit(" below, "), high.cast("string"), F.lit(" above")))
 
 
 @dataclass(frozen=True)
@@ -62,7 +63,7 @@ class AllowedValues:
 
     def result(self, df: DataFrame) -> Column:
         off = ~F.col(self.column).isin(*self.allowed)
-        return _result(self.name, "error", F.count_if(off) == 0, _ROWS, F.count_if(off), F.array_join(F.array_sort(F.collect_set(F.when(off, F.col(self.column)))), ","))
+        return _result(self.name, "error", F.count_if(off) == 0, _rows(), F.count_if(off), F.array_join(F.array_sort(F.collect_set(F.when(off, F.col(self.column)))), ","))
 
 
 @dataclass(frozen=True)
@@ -78,7 +79,7 @@ class Freshness:
         newest = F.max(self.column)
         age = F.timestamp_diff("SECOND", newest, self.at)
         ok = F.coalesce(age <= self.most_seconds, F.lit(False))
-        return _result(self.name, "warning", ok, _ROWS, F.when(ok, 0).otherwise(_ROWS), F.when(_ROWS == 0, "no_records").when(newest.isNull(), "no_timestamps").otherwise(F.concat(F.lit("age "), age.cast("string"))))
+        return _result(self.name, "warning", ok, _rows(), F.when(ok, 0).otherwise(_rows()), F.when(_rows() == 0, "no_records").when(newest.isNull(), "no_timestamps").otherwise(F.concat(F.lit("age "), age.cast("string"))))
 
 
 @dataclass(frozen=True)

@@ -76,17 +76,18 @@ SELECT source_product_id, day::VARCHAR AS day, avg_daily_price, observation_coun
 FROM roll JOIN listings USING (source_product_id) JOIN sources USING (source_id) WHERE window_observation_count >= 3"""
 
 
-_ROLL = [F.col("source_product_id"), F.col("day").cast("string").alias("day"), *map(F.col, ["avg_daily_price", "observation_count", "rolling_avg_price", "window_observation_count", "rolling_min_price", "rolling_max_price", "external_id", "source_name"])]
+def _roll() -> list:
+    return [F.col("source_product_id"), F.col("day").cast("string").alias("day"), *map(F.col, ["avg_daily_price", "observation_count", "rolling_avg_price", "window_observation_count", "rolling_min_price", "rolling_max_price", "external_id", "source_name"])]
 
 
 @query("q06_rolling_average", _rolling_sql("day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW"))
 def q06(r: Relations) -> DataFrame:
-    return P.with_listing(P.rolling(P.daily_prices(r.observations)), r).select(*_ROLL)
+    return P.with_listing(P.rolling(P.daily_prices(r.observations)), r).select(*_roll())
 
 
 @query("q06_rolling_average_calendar", _rolling_sql("day RANGE BETWEEN INTERVAL 729 DAY PRECEDING AND CURRENT ROW"))
 def q06_calendar(r: Relations) -> DataFrame:
-    return P.with_listing(P.rolling(P.daily_prices(r.observations), 730, 3, calendar=True), r).select(*_ROLL)
+    return P.with_listing(P.rolling(P.daily_prices(r.observations), 730, 3, calendar=True), r).select(*_roll())
 
 
 @query("q07_source_statistics", f""", seen AS (SELECT source_id, count(*) AS total_observations, min(collected_at) AS earliest_observation, max(collected_at) AS latest_observation,

@@ -40,12 +40,9 @@ def _normal(r: Relations) -> DataFrame:
     return records.normalize(raw_records(r))
 
 
-_WALL = F.col("collected_at").cast("timestamp_ntz").alias("collected_at")
-
-
 @query("p01_normalize", RAW + "SELECT event_id, event_type, schema_version, source, external_id, name, price, currency, availability, category, collected_at FROM n", prefix=False)
 def p01(r: Relations) -> DataFrame:
-    return _normal(r).select("event_id", "event_type", "schema_version", "source", "external_id", "name", "price", "currency", "availability", "category", _WALL)
+    return _normal(r).select("event_id", "event_type", "schema_version", "source", "external_id", "name", "price", "currency", "availability", "category", F.col("collected_at").cast("timestamp_ntz").alias("collected_at"))
 
 
 @query("p09_event_id", "SELECT concat('s:', l_partkey, ':', strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S'), '+00:00') AS event_id, count(*) AS n FROM lineitem GROUP BY 1", prefix=False)
