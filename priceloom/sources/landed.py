@@ -15,7 +15,8 @@ STOCK = ("in_stock", "out_of_stock", "preorder", "unknown")
 def read_json_items(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(items, malformed) of JSON-lines files: a line that is no object of the schema is kept as text with its file."""
     full = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    rows = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).withColumn("file", F.col("_metadata.file_path"))
+    lines = spark.read.text(path).filter(F.trim("value") != "").select(F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r"), F.col("_metadata.file_path").alias("file"))
+    rows = lines.select("r.*", "file")
     return rows.filter("_corrupt IS NULL").drop("_corrupt"), rows.filter("_corrupt IS NOT NULL").select("_corrupt", "file")
 
 
