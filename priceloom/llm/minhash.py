@@ -144,10 +144,10 @@ def _full_sets(docs: DataFrame, width: int) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int, name: str) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough.  Each text that a pair needs is shuffled once, and each set once per pair."""
     need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    full = materialize(_full_sets(texts.join(need, "node"), width), f"{name}-sets")
+    full = materialize(_full_sets(texts.join(need.hint("merge"), "node"), width), f"{name}-sets")
     left, right = (full.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
-    joined = pairs.join(left, "a").join(right, "b")
+    joined = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     ok = both * 100 >= (F.size("sa") + F.size("sb") - both) * percent
     return joined.filter(ok).select("a", "b")
 
