@@ -7,10 +7,9 @@ similarity.
 
 Links.  Documents with equal sets are one node.  Bands of coordinates make buckets.  In each bucket, four leaders (the smallest node and
 the smallest under three hashes) are paired with every member; pairs are verified on the full sets; components of the
-verified pairs follow.  What is left are buckets with members of several components.  Their members are dealt into blocks of bounded size, each pair of blocks is
-a group of its own, sketches inside are compared across components only, and pairs whose estimate is not far below the threshold are verified on the full
-sets.  So no pair that shares a bucket and could join two components is skipped, no bucket reaches one task as a
-whole, and pairs inside a component are never listed.
+verified pairs follow.  What is left are buckets with members of several components; :func:`_crossing` compares across these in blocks of bounded
+size.  So no pair that shares a bucket and could join two components is skipped, no bucket reaches one task as a whole, and the pairs
+of a group are never listed.
 """
 
 from __future__ import annotations
@@ -141,15 +140,18 @@ def _full_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, shingles array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int, name: str) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are similar enough.  Each text that a pair needs is shuffled once, and each set once per pair."""
+def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """Those of the pairs (a, b) whose full sets are similar enough, and the sets (node, shingles) of all their nodes.
+
+    Each text that a pair needs is shuffled once, and each set once per pair; the merge hints keep this plan at every size.
+    """
     need = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     full = materialize(_full_sets(texts.join(need.hint("merge"), "node"), width), f"{name}-sets")
     left, right = (full.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
     joined = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     ok = both * 100 >= (F.size("sa") + F.size("sb") - both) * percent
-    return joined.filter(ok).select("a", "b")
+    return joined.filter(ok).select("a", "b"), full
 
 
 def near_duplicates(
@@ -174,13 +176,14 @@ def near_duplicates(
     members = materialize(keys.join(leads, "key").select("key", "node", "size", "leads"), "near-buckets")
     led = members.select("node", F.explode("leads").alias("lead")).filter("node != lead").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
     led = materialize(led, "near-led")
-    links = materialize(_verified(led, rows.select(F.col("id").alias("node"), "text"), width, percent, "near-led"), "near-links")
+    good, sets = _verified(led, rows.select(F.col("id").alias("node"), "text"), width, percent, "near-led")
+    links = materialize(good, "near-links")
     parts = components(links, "near")
-    crossing = _crossing(members.filter("size > 2").select("key", "node"), parts, nodes, percent, coordinates)
-    crossing = materialize(crossing.join(led, ["a", "b"], "left_anti"), "near-crossing")
-    if not crossing.isEmpty():
-        more = _verified(crossing, rows.select(F.col("id").alias("node"), "text"), width, percent, "near-crossing")
-        parts = components(links.unionByName(materialize(more, "near-more")), "near")
+    more = _crossing(members.filter("size > 2").select("key", "node"), parts, nodes, sets, percent, coordinates)
+    if more is not None:
+        more = materialize(more, "near-more")
+        if not more.isEmpty():
+            parts = components(links.unionByName(more), "near")
     named = nodes.join(parts, "node", "left").select("f1", "f2", "n", F.coalesce("component", "node").alias("component"))
     # Components of nodes, named by nodes that are each the smallest id of their set.
     out = found.select("id", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left")
@@ -189,51 +192,79 @@ def near_duplicates(
     return out.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))).withColumnRenamed("id", id_col)
 
 
-def _crossing(members: DataFrame, parts: DataFrame, nodes: DataFrame, percent: int, t: int) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and whose sketches do not rule out the threshold.
+def _crossing(members: DataFrame, parts: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, t: int) -> DataFrame | None:
+    """Links (a, b) between different components, verified on the full sets; None if no bucket holds members of several components.
 
-    The estimate's standard deviation is at most sqrt(s (1 - s) / t) at similarity s; pairs five of them below the threshold are ruled out.
+    Buckets that do are joined to clusters.  A cluster's nodes are dealt into blocks of some BLOCK nodes, and each pair of blocks is a group of its
+    own that carries the nodes' sets, so a task holds two blocks at most and gives no more rows than links that join components.  Inside, only pairs of
+    different components are looked at, and of these only those that the sketches do not rule out: the estimate's standard deviation is at most
+    sqrt(s (1 - s) / t) at similarity s, and pairs five of them below the threshold are out.
     """
     share = percent / 100
-    floor = max(0.0, share - 5 * math.sqrt(share * (1 - share) / t))
-    least = math.floor(t * floor)
+    least = math.floor(t * max(0.0, share - 5 * math.sqrt(share * (1 - share) / t)))
     named = members.join(parts, members["node"] == parts["node"], "left").select("key", members["node"], F.coalesce("component", members["node"]).alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo != hi")
-    named = named.join(mixed.select("key", "size"), "key").join(nodes.select("node", "low"), "node")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    named = named.withColumn("n", blocks).withColumn("own", F.pmod(F.xxhash64("node", "key"), F.col("n")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
-    dealt = named.select("key", "node", "component", "low", "own", other.alias("other")).select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "component", "low")
+    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("node").alias("lead")).filter("lo != hi")
+    named = materialize(named.join(mixed.select("key", "lead"), "key").select("node", "component", "lead").distinct(), "near-mixed")
+    if named.isEmpty():
+        return None
+    clusters = components(named.filter("node != lead").select(F.col("node").alias("a"), F.col("lead").alias("b")), "near-clusters").withColumnsRenamed({"component": "cluster"})
+    own = named.select("node", "component").distinct().join(clusters, "node").join(nodes.select("node", "low"), "node").join(sets.hint("merge"), "node")
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    own = own.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("node", "cluster"), F.col("blocks")).cast("int"))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("cluster", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "component", "low", "shingles")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def close(held: list, one: bool) -> list[tuple[int, int]]:
+        node, comp, block = ([h[k] for h in held] for k in (1, 2, 0))
+        low = np.frombuffer(b"".join(h[3] for h in held), np.uint8).reshape(len(held), t)
+        blocks = np.array(block)
+        shingles: dict[int, frozenset] = {}
+        up: dict[int, int] = {c: c for c in comp}
+
+        def find(c: int) -> int:
+            while up[c] != c:
+                up[c] = up[up[c]]
+                c = up[c]
+            return c
+
+        def full(i: int) -> frozenset:
+            if i not in shingles:
+                shingles[i] = frozenset(held[i][4])
+            return shingles[i]
+
+        out = []
+        if len(up) == 1:
+            return out
+        for i in range(len(held) - 1):
+            near = (low[i + 1 :] == low[i]).sum(1) >= least
+            if not one:  # pairs inside a block are looked at where the block meets itself
+                near &= blocks[i + 1 :] != blocks[i]
+            for j in (np.flatnonzero(near) + i + 1).tolist():
+                a, b = find(comp[i]), find(comp[j])
+                if a == b:
+                    continue
+                n = len(full(i) & full(j))
+                if 100 * n >= percent * (len(full(i)) + len(full(j)) - n):
+                    up[max(a, b)] = min(a, b)
+                    out.append((min(node[i], node[j]), max(node[i], node[j])))
+        return out
 
     def compare(batches):
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        open_key, held = None, []
-
-        def close():
-            node = np.array([h[0] for h in held])
-            comp = np.array([h[1] for h in held])
-            own = np.array([h[2] for h in held])
-            low = np.frombuffer(b"".join(h[3] for h in held), np.uint8).reshape(len(held), t)
-            pairs = []
-            for i in range(len(held) - 1):
-                same = (low[i + 1 :] == low[i]).sum(1)
-                # A block meets itself in its own group; in a group of two blocks only the pairs across count.
-                ok = (same >= least) & (comp[i + 1 :] != comp[i]) & ((own[i + 1 :] != own[i]) | (open_key[1] == open_key[2]))
-                for j in np.flatnonzero(ok) + i + 1:
-                    pairs.append((min(node[i], node[j]), max(node[i], node[j])))
-            return sorted(set(pairs))
-
+        key, held = None, []
         for b in slices(batches):
-            for r in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True):
-                if (k := r[:3]) != open_key:
-                    if len(held) > 1 and (pairs := close()):
-                        yield batch(schema, *zip(*pairs, strict=True))
-                    open_key, held = k, []
-                held.append((r[4], r[5], r[3], r[6]))
-        if len(held) > 1 and (pairs := close()):
-            yield batch(schema, *zip(*pairs, strict=True))
-
-    groups = dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+            keys = list(zip(*(b.column(k).to_pylist() for k in range(3)), strict=True))
+            rest = [b.column(k).to_pylist() for k in range(3, 7)]
+            lists = b.column(7)
+            for i, k in enumerate(keys):
+                if k != key:
+                    if len(held) > 1 and (found := close(held, key[1] == key[2])):
+                        yield batch(schema, *zip(*found, strict=True))
+                    key, held = k, []
+                held.append((*(c[i] for c in rest), lists[i].values.to_numpy()))
+        if len(held) > 1 and (found := close(held, key[1] == key[2])):
+            yield batch(schema, *zip(*found, strict=True))
+
+    groups = dealt.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y")
     return groups.mapInArrow(compare, "a long, b long").distinct()
 
 
