@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from priceloom.functions.text import availability_of, blank_to_null, leading_digits, price_text, slug_of_url
+from priceloom.session import ship_code
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
@@ -149,6 +150,8 @@ _DDL = "page_url string, ordinal int, name string, href string, url string, pric
 def parse_pages(pages: DataFrame, layout: Layout, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """A row for each card and one (ordinal -1) for each page; malformed cards say why.  No shuffle."""
 
+    ship_code(pages.sparkSession)
+
     def run(batches):
         for b in batches:
             out = []

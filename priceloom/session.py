@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -20,3 +24,17 @@ def get_session(app: str = "priceloom", master: str | None = None, **conf: str)
     for k, v in settings.items():
         b = b.config(k, v)
     return b.getOrCreate()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once for a context, so that they find it wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_priceloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    to = Path(tempfile.mkdtemp(prefix="priceloom-code-")) / "priceloom.zip"
+    with zipfile.ZipFile(to, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(to))
+    sc._priceloom_shipped = True
