@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from priceloom.llm.common import batch, materialize, slices
 from priceloom.llm.neighbours import clean_vectors, common_length, matrix
+from priceloom.session import ship_code
 
 #: Bits of a quantised attribute and of a quantised weight.
 ATTRIBUTE_BITS, WEIGHT_BITS = 8, 7
@@ -127,6 +128,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     id, null vector, null or non-finite component or another length than most take no part; zero vectors do.
     """
     spark = vectors.sparkSession
+    ship_code(spark)
     rows = clean_vectors(vectors, id_col, vec_col, zero=True)
     size = common_length(rows)
     if not size:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from priceloom.llm.common import batch, slices, texts_of
+from priceloom.session import ship_code
 
 #: Distinct pre-tokens that a worker remembers at once; beyond it the memory starts anew, so it is bounded and results stay the same.
 MEMORY = 400_000
@@ -165,6 +166,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, limit: int = 10
     they occur as a pre-token; only other pre-tokens are merged.  Special strings in a text are one token each and split it, which is the
     library's default.  Null text counts as empty: 0 bytes, 0 tokens.  A map over rows: no shuffle; repeated rows are counted each.
     """
+    ship_code(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -263,6 +265,7 @@ def digest_documents(docs: DataFrame, ranks: str, pattern: str, chunk: int = 32_
 
 
 def _encoded(docs: DataFrame, ranks: str, pattern: str, chunk: int, overlap: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, str]:
+    ship_code(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     long = F.coalesce(F.length("text") > chunk, F.lit(False))
@@ -370,6 +373,7 @@ class _Stitch:
 
 def decode_documents(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """id, n_tokens, ids, decoded_sha256 of packed ids: the raw bytes of the ids, concatenated, and their digest."""
+    ship_code(encoded.sparkSession)
     id_type = encoded.schema[id_col].dataType.simpleString()
 
     def run(batches):

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from priceloom.llm.common import batch, slices, texts_of
+from priceloom.session import ship_code
 
 #: Runs of letters (and letter-like numbers, which carry no weight of their own).
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -93,6 +94,7 @@ def fit(labelled: DataFrame, docs_per_lang: int = 4000, most_words: int = 120_00
     agree and order does not matter), ``most_words`` words and ``most_grams`` n-grams of each length over all languages, shared
     equally.  Counting is distributed; only the bounded tables reach the driver.
     """
+    ship_code(labelled.sparkSession)
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(sizes)
@@ -149,6 +151,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_to: str
     Whole texts count.  A map over rows: no shuffle; the model, bounded by the parameters of :func:`fit`, is broadcast.  The columns
     ``lang_to`` and ``score_to`` replace such columns of ``docs``.
     """
+    ship_code(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     own: dict = {}
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from priceloom.llm.common import BASE, RangeHash, batch, materialize, mix64, slices
 from priceloom.llm.components import components
+from priceloom.session import ship_code
 
 LEADERS = 4
 BLOCK = 128
@@ -164,7 +165,7 @@ def near_duplicates(
     with the first text's links kept by id.  Null ids: components of their own (null), kept.  A pair of similarity s is missed with a probability of
     about (1 - s^per_band)^bands: 4e-7 at 0.85 and 5e-5 at 0.8 with the defaults.
     """
-    spark = docs.sparkSession
+    ship_code(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     found = materialize(_sets(rows, width, coordinates, bands, per_band, "bigint"), "near-sets")
     # Equal sets are one node, named by its smallest id; counted before rows move.

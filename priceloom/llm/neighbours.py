@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from priceloom.llm.common import batch, materialize, slices
 from priceloom.llm.hilbert import cosines, curve_keys, fit_curves, unit
+from priceloom.session import ship_code
 
 _RESULT = "query_id long, rank int, vec_id long, score double"
 
@@ -49,6 +50,7 @@ def nearest(
     length than most take no part.  Ties go to the smaller id.  Rows with the query's own id are no candidates.
     """
     spark = vectors.sparkSession
+    ship_code(spark)
     rows = clean_vectors(vectors, id_col, vec_col, zero=False)
     size = common_length(rows)
     if not size:

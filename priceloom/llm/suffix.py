@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from priceloom.llm.common import RangeHash, batch, materialize, slices
 from priceloom.llm.minhash import _text_bytes
+from priceloom.session import ship_code
 
 GRAM = 64
 CLASSES = 512
@@ -222,6 +223,7 @@ def _sorted_groups(pieces: DataFrame, length: int, first: bool) -> DataFrame:
 
 def repeated_spans(rows: DataFrame, length: int, first: bool) -> DataFrame:
     """(id, rk, spans): byte spans to remove from each of ``rows`` (id, rk, text) that has any; spans may overlap."""
+    ship_code(rows.sparkSession)
     many = _anchors(rows, length).groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
     met = materialize(_anchors(rows, length).join(many, "h"), "lpf-anchors")
     classes = met.groupBy("h", "fh").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "rk", "p", "n")).alias("at"))

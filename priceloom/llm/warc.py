@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, IsNotNull, WriterCommitMessage
 
 from priceloom.llm.common import batch, new_path
+from priceloom.session import ship_code
 
 SCHEMA = "record_id string, record_type string, target_uri string, date string, payload_digest string, refers_to string, payload_length long, payload binary"
 _ARROW = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("target_uri", pa.string()), ("date", pa.string()), ("payload_digest", pa.string()), ("refers_to", pa.string()), ("payload_length", pa.int64()), ("payload", pa.binary())])
@@ -282,6 +283,7 @@ class WarcDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship_code(spark)
     spark.dataSource.register(WarcDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
