@@ -43,7 +43,7 @@ def brute(rows, length, first):
 
 
 @pytest.mark.parametrize("keep", ["none", "first"])
-@pytest.mark.parametrize("classes", [512, 2])
+@pytest.mark.parametrize("classes", [4096, 2])
 def test_removal(spark, monkeypatch, keep, classes):
     monkeypatch.setattr(suffix, "CLASSES", classes)
     rows = corpus()
@@ -74,6 +74,13 @@ def test_ranks_follow_suffix_order():
         assert (r[i] < r[j]) == (a < b) and (r[i] == r[j]) == (a == b)
 
 
+def test_ranks_without_packing(monkeypatch):
+    data = np.random.default_rng(2).integers(97, 100, 500).astype(np.uint8)
+    want = suffix.suffix_ranks(data, 9)
+    pairs = suffix._ranks(np.full(4, 1 << 62, np.uint64), np.array([3, 1, 3, 2], np.uint64), 40)
+    assert pairs.tolist() == [2, 0, 2, 1] and want.max() < 500
+
+
 def test_sliding_min():
     x = np.random.default_rng(0).integers(0, 1000, 997)
     for w in (1, 7, 137, 997):
