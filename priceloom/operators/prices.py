@@ -83,6 +83,13 @@ def price_changes_over_history(r: Relations, from_date: Column | None = None, so
     return with_listing(rows, r).withColumns({"price_change_absolute": absolute, "price_change_percent": percent})
 
 
+def with_rank(rows: DataFrame, all_rows: DataFrame, value: str, to: str) -> DataFrame:
+    """Rank of ``rows`` among ``all_rows`` by a value, largest first: only distinct values are put in order in one place."""
+    sizes = all_rows.groupBy(value).agg(F.count(F.lit(1)).alias("__m"))
+    ahead = F.coalesce(F.sum("__m").over(Window.orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(sizes.select(value, (ahead + 1).cast("int").alias(to)), value)
+
+
 def first_and_last(rows: DataFrame) -> DataFrame:
     """First and last price and currency of each listing by time: one aggregation, no window."""
     at = F.struct("collected_at", "obs_id")
@@ -101,8 +108,9 @@ def ranked_by_increase(r: Relations, days_back: int, source_id: int | None = Non
     first, last = F.col("first_price").cast("double"), F.col("last_price").cast("double")
     raw = F.when(first > 0, (last - first) / first * 100)
     s = s.withColumns({"__order": F.coalesce(raw, F.when(first > 0, F.lit(None)).otherwise(0.0)), "price_change_percent": rounded(raw)})
-    # Rank over aggregated listings; missing changes first, as a descending order puts them.
-    s = s.withColumn("price_rank", F.rank().over(Window.orderBy(F.col("__order").desc_nulls_first()))).orderBy("price_rank", "source_product_id").limit(limit)
+    # The first rows of the order are taken before they are ranked: all rows ahead of one of them are among them.
+    top = s.orderBy(F.col("__order").desc_nulls_first(), "source_product_id").limit(limit)
+    s = top.withColumn("price_rank", F.rank().over(Window.orderBy(F.col("__order").desc_nulls_first())))
     return with_listing(s, r, products=True).drop("__order", "first_currency", "last_currency")
 
 
@@ -162,11 +170,9 @@ def product_statistics(r: Relations, days_back: int, min_price: float | None = N
         (F.sum("price").cast("double") / F.count("price")).alias("__avg"), rounded(F.stddev_samp(F.col("price").cast("double"))).alias("price_stddev"),
         F.max("collected_at").alias("latest_observation"),
     ).filter("observation_count >= 2")
-    s = s.withColumns({
-        "avg_price": rounded(F.col("__avg")), "price_range": F.col("max_price") - F.col("min_price"),
-        "price_rank": F.rank().over(Window.orderBy(F.desc("__avg"))), "frequency_rank": F.rank().over(Window.orderBy(F.desc("observation_count"))),
-    })
-    top = s.drop("__avg").orderBy("price_rank", "product_id", "source_id").limit(limit)
+    top = s.orderBy(F.desc("__avg"), "product_id", "source_id").limit(limit)
+    top = top.withColumns({"avg_price": rounded(F.col("__avg")), "price_range": F.col("max_price") - F.col("min_price"), "price_rank": F.rank().over(Window.orderBy(F.desc("__avg")))})
+    top = with_rank(top, s, "observation_count", "frequency_rank").drop("__avg")
     return top.join(r.products.drop("category"), "product_id").join(r.sources, "source_id")
 
 

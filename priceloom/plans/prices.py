@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from priceloom.operators import prices as P
@@ -235,10 +235,7 @@ def w12(r: Relations) -> DataFrame:
 @query("w06_global_rank", "SELECT source_product_id, n, rank() OVER (ORDER BY n DESC) AS place FROM (SELECT source_product_id, count(*) AS n FROM observations GROUP BY 1)")
 def w06(r: Relations) -> DataFrame:
     n = r.observations.groupBy("source_product_id").agg(F.count(F.lit(1)).alias("n"))
-    # Only one row for each distinct count is ranked in one place; the rest is a join.
-    sizes = n.groupBy("n").agg(F.count(F.lit(1)).alias("m"))
-    ahead = F.coalesce(F.sum("m").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return n.join(sizes.select("n", (ahead + 1).cast("int").alias("place")), "n").select("source_product_id", "n", "place")
+    return P.with_rank(n, n, "n", "place").select("source_product_id", "n", "place")
 
 
 @query("l04_mixed_order_page", f"SELECT obs_id, source_product_id, price FROM observations ORDER BY price DESC NULLS FIRST, obs_id, source_product_id LIMIT 50")
