@@ -27,7 +27,11 @@ def get_session(app: str = "priceloom", master: str | None = None, **conf: str)
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Give this package to the Python workers, once for a context, so that they find it wherever the driver was started."""
+    """Give this package to the Python workers, once for a context, so that they find it wherever the driver was started.
+
+    Also bounds the Arrow batches that pass between them and the JVM by bytes, as rows may be long.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     sc = spark.sparkContext
     if getattr(sc, "_priceloom_shipped", False):
         return
