@@ -59,8 +59,13 @@ def library_split(text: str, pattern: str) -> list[str]:
         odd = "".join(chr(c) if unicodedata.category(chr(c)) == "Cn" else " " for c in [*range(0x100, 0xD800), *range(0xE000, 0x110000)])
         _loaded["odd"] = re.compile("[" + "".join(f"\\U{ord(a):08x}-\\U{ord(b):08x}" for a, b in _contiguous(odd)) + "]").search
         _loaded["pre"] = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
-    if text.isascii() or not _loaded["odd"](text):
-        return split(text, pattern)
+    latin, full = _splitters(pattern)
+    try:
+        text.encode("latin-1")  # all assigned
+        return latin(text)
+    except UnicodeEncodeError:
+        if not _loaded["odd"](text):
+            return full(text)
     return [text[a:b] for _, (a, b) in _loaded["pre"].pre_tokenize_str(text)]
 
 
@@ -159,6 +164,17 @@ def merger(path: str):
     return _loaded["merge", path]
 
 
+def _counter(vocabulary: str, pattern: str) -> tuple[Counter, re.Pattern | None]:
+    """A worker's counter and the pattern of the special strings; kept from task to task."""
+    key = ("count", vocabulary)
+    if key not in _loaded:
+        merge = merger(vocabulary)
+        special = special_strings(vocabulary)
+        cut = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
+        _loaded[key] = (Counter(whole_tokens(vocabulary, pattern), lambda piece: len(merge(piece.encode()))), cut)
+    return _loaded[key]
+
+
 def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, n_bytes, n_tokens, over_limit (n_tokens > ``limit``).
 
@@ -170,13 +186,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, limit: int = 10
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        key = ("count", vocabulary)
-        if key not in _loaded:
-            merge = merger(vocabulary)
-            special = special_strings(vocabulary)
-            cut = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-            _loaded[key] = (Counter(whole_tokens(vocabulary, pattern), lambda piece: len(merge(piece.encode()))), cut)
-        counts, cut = _loaded[key]
+        counts, cut = _counter(vocabulary, pattern)
         get = counts.__getitem__
         schema = None
         for b in slices(batches):
