@@ -226,7 +226,8 @@ def _sorted_groups(pieces: DataFrame, length: int, first: bool) -> DataFrame:
 def repeated_spans(rows: DataFrame, length: int, first: bool) -> DataFrame:
     """(id, rk, spans): byte spans to remove from each of ``rows`` (id, rk, text) that has any; spans may overlap."""
     ship_code(rows.sparkSession)
-    many = _anchors(rows, length).groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
+    # Written down first: a join of two plain exchanges lets Spark split the partition of a very common gram.
+    many = materialize(_anchors(rows, length).groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"), "lpf-grams")
     met = materialize(_anchors(rows, length).join(many, "h"), "lpf-anchors")
     classes = met.groupBy("h", "fh").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "rk", "p", "n")).alias("at"))
     classes = materialize(classes.select("h", "fh", "times", "at"), "lpf-classes")
