@@ -25,7 +25,7 @@ from priceloom.llm.common import batch, slices, texts_of
 from priceloom.session import ship_code
 
 #: Distinct pre-tokens that a worker remembers at once; beyond it the memory starts anew, so it is bounded and results stay the same.
-MEMORY = 400_000
+MEMORY = 120_000
 _loaded: dict = {}
 
 

@@ -46,7 +46,7 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def slices(batches, most_bytes: int = 8 << 20, most_rows: int = 4096):
+def slices(batches, most_bytes: int = 2 << 20, most_rows: int = 4096):
     """Cut record batches so that a slice holds about ``most_bytes`` at most (one row at least), which bounds a worker's memory."""
     for b in batches:
         n = b.num_rows

@@ -19,7 +19,7 @@ from priceloom.session import ship_code
 _WORDS = re.compile(r"[^\W\d_]+").findall
 LONGEST = 4
 #: Words a worker remembers the scores of.
-MEMORY = 300_000
+MEMORY = 100_000
 
 
 def _grams(word: str, n: int) -> list[str]:

@@ -33,7 +33,7 @@ GRAM = 64
 CLASSES = 4096
 #: Bytes of fragments that are sorted together, and of text that is hashed together.
 CHUNK = 1 << 19
-SECTION = 1 << 21
+SECTION = 1 << 20
 #: In a winnowing key, low bits for the place; sections are shorter than 2**PLACE_BITS.
 PLACE_BITS = 28
 _U = np.uint64
