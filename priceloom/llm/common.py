@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -9,8 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: The white space that separates words in the contracts: space, and tab to carriage return.
-WORD_GAP = frozenset((0x20, *range(0x09, 0x0E)))
+# Arrow's own pool keeps what it has freed; the system's gives it back.
+pa.set_memory_pool(pa.system_memory_pool())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,6 +47,18 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+try:
+    _trim = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library
+    _trim = None
+
+
+def _release() -> None:
+    """Give freed memory back to the system, so that idle and reused workers stay small."""
+    if _trim:
+        _trim(0)
+
+
 def slices(batches, most_bytes: int = 2 << 20, most_rows: int = 4096):
     """Cut record batches so that a slice holds about ``most_bytes`` at most (one row at least), which bounds a worker's memory."""
     for b in batches:
@@ -55,6 +68,7 @@ def slices(batches, most_bytes: int = 2 << 20, most_rows: int = 4096):
         step = max(1, min(most_rows, int(n * most_bytes / max(1, b.nbytes))))
         for i in range(0, n, step):
             yield b.slice(i, min(step, n - i))
+        _release()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

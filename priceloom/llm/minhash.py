@@ -106,7 +106,7 @@ def _sets(docs: DataFrame, width: int, t: int, bands: int, per_band: int, id_typ
 
     def run(batches):
         schema = None
-        for b in slices(batches, 1 << 20, 2048):
+        for b in slices(batches, 1 << 19, 2048):
             schema = schema or pa.schema([b.schema.field(0), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("bands", pa.list_(pa.int64())), ("low", pa.binary())])
             s, d = shingle_sets(b.column(1), width)
             n_docs = b.num_rows
@@ -133,7 +133,7 @@ def _full_sets(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
-        for b in slices(batches, 1 << 20, 2048):
+        for b in slices(batches, 1 << 19, 2048):
             s, d = shingle_sets(b.column(1), width)
             ends = np.concatenate([[0], np.cumsum(np.bincount(d, minlength=b.num_rows))]).astype(np.int32)
             yield batch(schema, b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(s.astype(np.int64))))

@@ -32,8 +32,8 @@ GRAM = 64
 #: Fragments of one gram that a task sorts together: some 1.3 MB at a length of 200.
 CLASSES = 4096
 #: Bytes of fragments that are sorted together, and of text that is hashed together.
-CHUNK = 1 << 19
-SECTION = 1 << 20
+CHUNK = 1 << 18
+SECTION = 1 << 19
 #: In a winnowing key, low bits for the place; sections are shorter than 2**PLACE_BITS.
 PLACE_BITS = 28
 _U = np.uint64
