@@ -102,7 +102,11 @@ def nearest(
     seen = F.explode(F.sequence(F.greatest(F.lit(0), F.col("block") - reach), F.least(F.col("last"), F.col("block") + reach)))
     queries = placed.filter("asked").select("curve", seen.alias("block"), F.lit(1).alias("kind"), "vid", F.array().cast("array<long>").alias("ids"), "vec")
 
+    # Twice what an approximate and an exact cosine of unit vectors can differ by, and as much again; pairs that are scored at once.
+    slack, pairs = (size + 16) * 2.0**-50, max(1, (1 << 21) // size)
+
     def rerank(batches):
+        """The k + 1 best of a block for each query, by exact cosine and id, of all rows that rounding leaves a chance (any number of ties)."""
         open_at, ids, vid, vec = None, [], [], []
         schema = pa.schema([("qvid", pa.int64()), ("vid", pa.int64()), ("score", pa.float64()), ("ids", pa.list_(pa.int64()))])
         for b in slices(batches, 4 << 20):
@@ -121,12 +125,16 @@ def nearest(
                 near = unit(vec[0])
                 for s in range(a, z, 256):
                     q = x[s : min(z, s + 256)]
-                    m = min(len(near), k + 4)
-                    got = np.argpartition(-(unit(q) @ near.T), m - 1, axis=1)[:, :m] if m < len(near) else np.tile(np.arange(m), (len(q), 1))
-                    score = cosines(np.repeat(q, m, 0), vec[0][got.ravel()]).reshape(-1, m)
-                    order = np.lexsort((vid[0][got], -score), axis=1)[:, : k + 1]
-                    got, score = np.take_along_axis(got, order, 1), np.take_along_axis(score, order, 1)
-                    yield batch(schema, np.repeat(vids[s : s + len(q)], got.shape[1]), vid[0][got.ravel()], score.ravel(), [ids[i] for i in got.ravel()])
+                    close = unit(q) @ near.T
+                    m = min(len(near), k + 1)
+                    least = np.partition(close, len(near) - m, axis=1)[:, len(near) - m] - slack
+                    who, got = np.nonzero(close >= least[:, None])
+                    score = np.concatenate([cosines(q[who[i : i + pairs]], vec[0][got[i : i + pairs]]) for i in range(0, len(who), pairs)])
+                    order = np.lexsort((vid[0][got], -score, who))
+                    starts = np.searchsorted(who, np.arange(len(q)))  # who is sorted, before and after
+                    order = order[np.arange(len(who)) - starts[who] <= k]
+                    who, got, score = who[order], got[order], score[order]
+                    yield batch(schema, vids[s : s + len(q)][who], vid[0][got], score, [ids[i] for i in got])
 
     both = base.unionByName(queries).repartition("curve", "block").sortWithinPartitions("curve", "block", "kind", "vid")
     found = both.mapInArrow(rerank, "qvid long, vid long, score double, ids array<long>")

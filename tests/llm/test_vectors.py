@@ -51,6 +51,24 @@ def test_nearest(spark, block):
     assert hit / (5 * len(queries)) >= 0.9
 
 
+def test_scaled_copies_tie_to_the_smaller_id(spark):
+    """Different vectors of one direction: those scaled by powers of two tie, others differ by rounding."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(2000, 16))
+    ids = rng.permutation(2000)
+    copies = rng.choice(2000, 400, replace=False)
+    x[copies[:300]] = x[copies[0]] * 2.0 ** (np.arange(300) - 150)[:, None]
+    x[copies[300:]] = x[copies[0]] * np.arange(3, 203, 2)[:, None]
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(map(tuple, neighbours.nearest(df, F.col("id") % 20 == 0).collect()))
+    n = np.sqrt((x * x).sum(1))
+    want = []
+    for q in np.flatnonzero(ids % 20 == 0):
+        s = (x * x[q]).sum(1) / (n * n[q])
+        want += [(ids[q], r + 1, ids[j], s[j]) for r, j in enumerate([j for j in np.lexsort((ids, -s)) if j != q][:5])]
+    assert got == sorted(want)
+
+
 @pytest.mark.parametrize("rows", [16_384, 200])
 def test_top_k(spark, rows):
     df, ids, x = table(spark)
