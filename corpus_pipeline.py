@@ -5,7 +5,7 @@ folder and read again as the next stage's ``docs``, so a lost executor costs one
 the columns of ``documents``.
 
 language    documents that language ID rejects go: no letters, or no language that fits (score under LEAST_SCORE)
-near        one document of each group of near copies stays, that of the smallest id (five-word shingles, similarity 0.8)
+near        one row of each group of near copies stays, that of the smallest id (five-word shingles, similarity 0.8)
 repeats     later copies of strings of 200 bytes that occur earlier in the corpus are cut out; a document of which nothing is left goes
 mix         sources are mixed to weights 1, 2, 3 by code point, at most three copies of a document; the copy in which a quota ends is cut
 tokens      byte-level BPE ids of each text of the mix, and the digest of what they decode to
@@ -33,7 +33,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.drop_near_duplicates(docs, width=5, percent=80)
+    return minhash.drop_near_duplicates(docs, width=5, percent=80, one_row=True)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -269,8 +269,32 @@ def _crossing(members: DataFrame, parts: DataFrame, nodes: DataFrame, sets: Data
     return groups.mapInArrow(compare, "a long, b long").distinct()
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates, that of the smallest id; rows without an id stay."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
-    gone = found.filter(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+def _one_of_equal_rows(keyed: DataFrame, text_col: str) -> DataFrame:
+    """``keyed`` with the smallest of all rows that share a ``__key`` and whose text has a word."""
+    worded = keyed.filter(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"))
+    many = materialize(worded.groupBy("__key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__key"), "near-equal")
+    if many.isEmpty():
+        return keyed
+    one = keyed.join(many, "__key", "left_semi").groupBy("__key").agg(F.min(F.struct(*keyed.columns)).alias("r")).select("r.*")
+    return materialize(keyed.join(many, "__key", "left_anti").select(*keyed.columns).unionByName(one), "near-rows")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", one_row: bool = False, **how) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates, that of the smallest id.
+
+    A document is an id and a text: another text under the same id is judged by itself.  Rows that repeat both stay or go together, and rows
+    without an id stay.  With ``one_row``, one row of each group stays: of rows that repeat both the smallest, and rows without an id take part
+    as those of the largest id.
+    """
+    key = F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
+    keyed = docs.withColumn("__key", key if one_row else F.when(F.col(id_col).isNotNull(), key))
+    if one_row:
+        keyed = _one_of_equal_rows(keyed, text_col)
+    found = near_duplicates(keyed.select("__key", text_col), id_col="__key", text_col=text_col, **how)
+    found = found.filter("n_shingles > 0 AND __key IS NOT NULL").select("__key", "component_id").distinct()
+    ids = keyed.filter("__key IS NOT NULL").groupBy("__key").agg(F.min(F.col(id_col).cast("long")).alias("id"))
+    groups = materialize(found.join(ids, "__key"), "near-groups")
+    # One key for each component, so that no join meets a large group on one key.
+    stay = groups.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "__key")).alias("first")).select("first.__key")
+    gone = groups.select("__key").join(stay, "__key", "left_anti")
+    return keyed.join(gone, "__key", "left_anti").select(*docs.columns)

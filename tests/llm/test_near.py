@@ -91,6 +91,17 @@ def test_empty_and_repeated(spark):
     assert minhash.drop_near_duplicates(docs).count() == 5
 
 
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    a, b, c = "a b c d e f", "u v w x y z", "q r s t u v"
+    rows = [(1, a), (1, a), (5, a.upper()), (5, b), (6, b), (7, c), (7, c), (None, a), (None, "n o id h e r"), (None, "n o id h e r"), (None, " "), (None, " "), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    stay = [r for r in rows if r not in ((5, a.upper()), (6, b))]
+    assert sorted(map(tuple, minhash.drop_near_duplicates(docs).collect()), key=str) == sorted(stay, key=str)
+    one = [(1, a), (5, b), (7, c), (None, "n o id h e r"), (None, " "), (None, " "), (None, None)]
+    got = minhash.drop_near_duplicates(docs, one_row=True)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=str) == sorted(one, key=str)
+
+
 def test_long_paths(spark):
     edges = spark.range(0, 400).selectExpr("(id * 7919) % 401 AS a", "((id + 1) * 7919) % 401 AS b")
     got = components(edges).collect()
