@@ -8,6 +8,7 @@
 3.  Splitting tree: each (source, copy, block) that is drawn is a unit.  Every node of a binary tree over the output shards permutes
     its units by a hash and gives the first half to the left: the counts per source on the left then are a
     multivariate-hypergeometric draw, quotas stay exact, and shards get disjoint blocks.  ``order_key`` shuffles inside a shard.
+    The tree places copies (:func:`emit_copies`); it has no part in how much is taken of a row.
 
 The unit table holds sources x 256 x (most + 1) rows at most, whatever the number of documents.
 """
@@ -109,14 +110,24 @@ def mix_sources(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: in
     return out.withColumn("order_key", F.xxhash64(F.lit(seed), "__place")).select(*sized.columns, "source_size", "target", "taken", "shards", "order_key")
 
 
-def emit_copies(mixed: DataFrame, columns: list[str], text_col: str = "text") -> DataFrame:
-    """The mix itself: ``columns`` of each taken row once per copy, the last copy cut to the words taken of it (white space between words stays)."""
+def emit_copies(mixed: DataFrame, columns: list[str], text_col: str = "text", shards: int = 16) -> DataFrame:
+    """The mix itself: ``columns`` of each taken row once per copy, the last copy cut to the words taken of it (white space between words stays).
+
+    Copies lie where the splitting tree has dealt them: each of the ``shards`` of :func:`mix_sources` is a run of partitions of its own, each
+    partition a range of ``order_key`` in its order, so that a shard is shuffled as a whole.
+    """
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
     rest = (F.col("taken") - whole * F.col("size")).cast("int")
     part = F.concat_ws("", F.slice(F.regexp_extract_all(F.col(text_col), F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0)), F.lit(1), F.greatest(rest, F.lit(1))))
     rows = mixed.withColumns({"__whole": whole, "__rest": rest}).filter("taken > 0")
     rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__whole") + F.when(F.col("__rest") > 0, 1).otherwise(0))))
-    return rows.withColumn(text_col, F.when(F.col("__copy") <= F.col("__whole"), F.col(text_col)).otherwise(part)).select(*columns)
+    rows = rows.withColumn(text_col, F.when(F.col("__copy") <= F.col("__whole"), F.col(text_col)).otherwise(part))
+    rows = rows.withColumns({"__shard": F.get("shards", F.col("__copy") - 1), "__order": F.col("order_key")}).select(*columns, "__copy", "__shard", "__order")
+    # As many ranges of a shard as give the session's number of partitions; the key is a hash, so ranges of equal width are even.
+    ranges = -(-int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards)
+    at = F.floor((F.shiftright("__order", 32) + (1 << 31)) * ranges / (1 << 32)).cast("int")
+    dealt = rows.repartitionById(shards * ranges, F.col("__shard") * ranges + at)
+    return dealt.sortWithinPartitions("__order", "__copy").select(*columns)
 
 
 #: The same result by plain window sums; used as an oracle.

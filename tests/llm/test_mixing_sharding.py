@@ -62,6 +62,25 @@ def test_mix(spark):
     assert words == Counter({s: n for s, n in taken.items() if n})
 
 
+def test_copies_lie_in_their_shards_in_order(spark):
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, "w " * rng.randrange(1, 90), rng.choice("abc")) for i in range(600)], "doc_id long, text string, source string").repartition(3)
+    mixed = mixing.materialize(mixing.mix_sources(docs.withColumn("size", mixing.word_count(F.col("text"))), shards=4), "test-mixed")
+    rows = {r.doc_id: r for r in mixed.collect()}
+    ranges = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    dealt = mixing.emit_copies(mixed, docs.columns, shards=4)
+    assert dealt.columns == docs.columns
+    got, order = {}, {}
+    for r in dealt.withColumn("at", F.spark_partition_id()).collect():
+        got.setdefault(r.doc_id, []).append(r.at // ranges)
+        order.setdefault(r.at, []).append(rows[r.doc_id].order_key)
+    assert {i: sorted(x) for i, x in got.items()} == {i: sorted(r.shards) for i, r in rows.items() if r.taken}
+    assert all(x == sorted(x) for x in order.values()) and len({s for x in got.values() for s in x}) == 4
+    for s in range(4):  # ranges follow each other, so a shard is in order from its first partition to its last
+        runs = [order.get(s * ranges + k, []) for k in range(ranges)]
+        assert (flat := [k for run in runs for k in run]) == sorted(flat)
+
+
 def test_splitting_tree_is_exact(spark):
     _, docs = _docs(spark)
     units = docs.select(F.lit(False).alias("__null"), F.coalesce("source", F.lit("")).alias("__src"), F.lit(1).alias("__copy"), F.col("doc_id").cast("string").alias("__block"))
