@@ -90,20 +90,23 @@ def held_out(id_col: Column) -> Column:
 def fit(labelled: DataFrame, docs_per_lang: int = 4000, most_words: int = 120_000, most_grams: int = 60_000, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Learn from rows with a text and a language.
 
-    Bounds, which also bound the model that is broadcast: about ``docs_per_lang`` documents of each language (by a hash of the text, so reruns
-    agree and order does not matter), ``most_words`` words and ``most_grams`` n-grams of each length over all languages, shared
+    Bounds, which also bound the model that is broadcast: about ``docs_per_lang`` distinct texts of each language (by a hash of the text, so reruns
+    agree and order does not matter; copies of a text count once), ``most_words`` words and ``most_grams`` n-grams of each length over all languages, shared
     equally.  Counting is distributed; only the bounded tables reach the driver.
     """
     ship_code(labelled.sparkSession)
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    texts = rows.groupBy("lang", "hash").agg(F.count(F.lit(1)).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).collect()
+    sizes = {r["lang"]: r["n"] for r in texts}
+    distinct = {r["lang"]: r["texts"] for r in texts}
     langs = sorted(sizes)
     if not langs:
         return Model([], np.zeros(0), {}, np.zeros((0, 0)), [{}] * LONGEST, [np.zeros((0, 0))] * LONGEST)
     share = F.lit(0.0)
     for lang in langs:
-        share = F.when(F.col("lang") == lang, min(1.0, docs_per_lang / sizes[lang])).otherwise(share)
-    sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30))
+        share = F.when(F.col("lang") == lang, min(1.0, docs_per_lang / distinct[lang])).otherwise(share)
+    sample = rows.filter(F.pmod("hash", F.lit(1 << 30)) < share * (1 << 30)).groupBy("lang", "hash").agg(F.min("text").alias("text")).select("text", "lang")
     counts = sample.mapInArrow(_count, "lang string, kind int, gram string, n long").groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n"))
     totals = Window.partitionBy("lang", "kind")
     keep = F.when(F.col("kind") == 0, max(1, most_words // len(langs))).otherwise(max(1, most_grams // len(langs)))

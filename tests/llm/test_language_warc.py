@@ -33,6 +33,27 @@ def test_language_edges(spark):
     assert language.predict(docs.limit(0), model).collect() == []
 
 
+def test_copies_count_once_in_training(spark, monkeypatch):
+    """A language of mostly copies gets rows, and no group of copies swamps the counts."""
+    rows = [(f"zz{k} aa aa", "cc") for k in range(8) for _ in range(200)] + [(f"tt{k} bb bb", "dd") for k in range(500)]
+    counted = []
+
+    def count(df, fn, schema):
+        out = df.select("text", "lang").collect()
+        counted.extend(map(tuple, out))
+        return real(df, fn, schema)
+
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    real = DataFrame.mapInArrow
+    monkeypatch.setattr(DataFrame, "mapInArrow", count)
+    train = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    model = language.fit(train, docs_per_lang=100)
+    assert len(counted) == len(set(counted))
+    assert sum(lang == "cc" for _, lang in counted) == 8 and 60 <= sum(lang == "dd" for _, lang in counted) <= 140
+    assert set(model.words) >= {"aa", "bb"}
+
+
 @pytest.fixture
 def pages(spark):
     rows = [(1, "http://a", "x"), (2, None, "x"), (3, "http://c", None), (4, "http://d\r\nWARC-Type: evil", ""), (5, "http://é", "é" * 9000), (6, "u", "é" * 9000), (6, "u", "z\r\n\r\nWARC/1.0"), (None, "n", "x"), (7, "u", "\r\n\r\n" * 3)]
