@@ -61,6 +61,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(p)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What lies in a folder, in order of name."""
+    store, p = _files(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(p))
+
+
 def scan(spark: SparkSession, path: str, where: Partitions = Partitions(), columns: list[str] | None = None, schema: T.StructType = RECORD) -> DataFrame:
     """A lazy, pruned and projected scan; without data an empty frame of the same schema."""
     full = layer_schema(schema)

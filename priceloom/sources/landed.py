@@ -38,10 +38,12 @@ def as_messages(events: DataFrame) -> DataFrame:
     return events.select(F.concat_ws(":", "source", "payload.external_id").alias("key"), F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def catalog(spark: SparkSession, keys: dict[str, list[str]] | None = None, count: bool = True) -> DataFrame:
-    """Tables and columns of the current catalog with key columns (from ``keys``) and row counts."""
+def catalog(spark: SparkSession, keys: dict[str, list[str]] | None = None, count: bool = True, only: list[str] | None = None) -> DataFrame:
+    """Tables and columns of the current catalog (of the tables in ``only``, if given) with key columns (from ``keys``) and row counts."""
     rows = []
     for t in spark.catalog.listTables():
+        if only is not None and t.name not in only:
+            continue
         n = spark.table(t.name).count() if count else None
         rows += [(t.name, c.name, c.dataType, c.nullable, c.name in (keys or {}).get(t.name, []), n) for c in spark.catalog.listColumns(t.name)]
     return spark.createDataFrame(rows, "table string, column string, type string, nullable boolean, is_key boolean, row_count long")

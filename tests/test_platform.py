@@ -2,11 +2,14 @@
 
 import json
 from datetime import date, datetime
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import __spark_entry__ as entry
 from priceloom.operators import records
 from priceloom.operators.warehouse import ConflictError, Warehouse, append_results
 from priceloom.sources import lake, landed
@@ -122,3 +125,12 @@ def test_generator(spark):
     events, dead = records.parse(landed.as_messages(landed.generate_events(spark, 50)))
     good, bad = records.validate(records.normalize(records.flatten(events)))
     assert (good.count(), bad.count(), dead.count()) == (50, 0, 0)
+
+
+def test_catalog_has_every_table(spark, sf_dir):
+    spark.range(3).createOrReplaceTempView("not_of_the_directory")
+    got = entry.queries()["src17_catalog"](spark, sf_dir).collect()
+    files = sorted(Path(sf_dir).glob("*.parquet"))
+    want = {(f.stem, name, pq.read_metadata(f).num_rows) for f in files for name in pq.read_schema(f).names}
+    assert len(files) == 14 and {(r.table, r.column, r.row_count) for r in got} == want
+    assert all(any(r.is_key for r in got if r.table == f.stem) for f in files)
