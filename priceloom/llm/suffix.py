@@ -4,15 +4,18 @@ A string of ``length`` bytes that starts at two places is found without a global
 
 1.  Windows.  Each window of ``length`` bytes has an anchor, the place of the smallest hash among its ``GRAM``-byte grams (leftmost of
     equals).  Equal windows have equal anchors at equal offsets, so they meet under the anchor's gram hash.  A run of
-    neighbouring windows with one anchor is a fragment; there is about one for every (length - GRAM) / 2 bytes.
-2.  Anchors are counted before anything else moves; only grams that occur at least twice go on.  Under a gram, fragments of equal content are one class
-    with a count and a first place, so copies are settled without their bytes.
-3.  Only grams with several classes need their bytes, one fragment per class.  A task sorts the suffixes of its fragments to a depth of ``length`` bytes by
-    prefix doubling, equal ones by place in the corpus.  In that order the previous smaller position of a suffix that shares ``length`` bytes is its
-    direct predecessor, the next smaller one has a shorter common prefix; so a window's longest previous factor reaches ``length`` exactly if its predecessor
-    has the same rank.
-4.  A gram with very many classes is dealt into salts of about ``CLASSES`` fragments.  Each salt hands on one row per distinct window;
-    these are grouped by content, so windows that only meet across salts are found as well.
+    neighbouring windows with one anchor is a fragment; there is about one for every (length - GRAM) / 2 bytes.  Fragments are written once, as narrow
+    rows with a 128-bit BLAKE2b digest of their bytes.
+2.  Grams are counted before anything else moves; only those that occur at least twice go on.  Under a gram, fragments of equal digest are one class
+    with a count and a first place; the digest stands for the bytes, so copies of whole fragments are settled without shipping them.
+3.  Grams with several classes need their bytes, one fragment per class.  A task sorts the suffixes of its fragments to a depth of ``length`` bytes by
+    prefix doubling and takes the common prefixes of neighbours from the doubled ranks.  :func:`longest_previous` then gives each window its longest
+    previous factor: the longer of the prefixes shared with the nearest suffixes before and after it in suffix order that start at a smaller place of
+    the corpus.  A window whose factor reaches ``length`` is a later copy; what the factor points at is its earlier one.
+4.  A gram with very many classes is dealt into salts of about ``CLASSES`` fragments.  Each salt hands on one row per distinct window, with a
+    digest; these are grouped, so windows that only meet across salts are found as well.
+
+Rows that repeat an id and a text are one row for all this; of such rows one is the first and the others are whole later copies.
 """
 
 from __future__ import annotations
@@ -52,12 +55,18 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[: n - w + 1], ahead[w - 1 : n])
 
 
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """128-bit BLAKE2b digests of byte ranges, as two columns of int64."""
+    view, new = memoryview(np.ascontiguousarray(data)), hashlib.blake2b
+    return np.frombuffer(b"".join([new(view[a:z], digest_size=16).digest() for a, z in zip(starts.tolist(), ends.tolist(), strict=True)]), "<i8").reshape(-1, 2)
+
+
 def fragments(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(document, first window, windows, gram hash, content hash) of every run of windows with one anchor; places count from the document's start."""
+    """(document, first window, windows, gram hash, digest) of every run of windows with one anchor; places count from the document's start."""
     gram = min(GRAM, length)
     n = len(data)
     if n < length:
-        return tuple(np.zeros(0, np.int64) for _ in range(3)) + tuple(np.zeros(0, _U) for _ in range(2))
+        return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros((0, 2), np.int64),)
     ranged = RangeHash(data)
     at = np.arange(n - gram + 1)
     h = ranged(at, at + gram)
@@ -72,7 +81,7 @@ def fragments(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.nda
     end = np.ones(len(anchor), bool)
     end[:-1] = first[1:] | ~inside[1:]
     b = np.flatnonzero(end & inside)
-    return doc[a], a - bounds[doc[a]], b - a + 1, h[anchor[a]], ranged(a, b + length)
+    return doc[a], a - bounds[doc[a]], b - a + 1, h[anchor[a]].astype(np.int64), digests(data, a, b + length)
 
 
 def _ranks(high: np.ndarray, low: np.ndarray, low_bits: int) -> np.ndarray:
@@ -92,10 +101,10 @@ def _ranks(high: np.ndarray, low: np.ndarray, low_bits: int) -> np.ndarray:
     return out
 
 
-def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
-    """Rank of each position's next ``length`` bytes in lexicographic order (equal strings, equal ranks), by prefix doubling.
+def rank_levels(data: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
+    """(depth, rank of each position's next ``depth`` bytes in lexicographic order) of each round of prefix doubling; equal strings have equal ranks.
 
-    Positions nearer to the end count as if zero bytes followed.
+    The last depth is ``length``.  Positions nearer to the end count as if zero bytes followed.
     """
     n = len(data)
     depth = min(5, length)
@@ -103,24 +112,79 @@ def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
     key = np.zeros(n, _U)
     for i in range(depth):
         key = key << _U(8) | padded[i : i + n]
-    r = _ranks(key, np.zeros(n, _U), 0)
+    levels = [(depth, _ranks(key, np.zeros(n, _U), 0))]
     while depth < length:
-        step = min(depth, length - depth)
+        step, r = min(depth, length - depth), levels[-1][1]
         ahead = np.zeros(n, np.int64)
         ahead[: n - step] = r[step:] + 1
-        r = _ranks(r, ahead, n.bit_length())
         depth += step
-    return r
+        levels.append((depth, _ranks(r, ahead, n.bit_length())))
+    return levels
+
+
+def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
+    """Rank of each position's next ``length`` bytes in lexicographic order (equal strings, equal ranks)."""
+    return rank_levels(data, length)[-1][1]
+
+
+def common_prefixes(data: np.ndarray, levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of the suffixes at ``a`` and ``b``, which differ within the last depth: the deepest equal ranks first, then bytes."""
+    n, shared = len(data), np.zeros(len(a), np.int64)
+    for depth, rank in reversed(levels[:-1]):
+        i, j = np.minimum(a + shared, n - 1), np.minimum(b + shared, n - 1)
+        shared += np.where((rank[i] == rank[j]) & (np.maximum(a, b) + shared + depth <= n), depth, 0)
+    for _ in range(levels[0][0]):
+        i, j = a + shared, b + shared
+        inside = np.maximum(i, j) < n
+        shared += inside & (data[np.minimum(i, n - 1)] == data[np.minimum(j, n - 1)])
+    return np.minimum(shared, levels[-1][0])
+
 
+def longest_previous(place: list[int], lcp: list[int]) -> tuple[list[int], list[int]]:
+    """Longest previous factors of suffixes in suffix order.
 
-def earlier_later(rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For suffixes given in corpus order by their depth-limited rank: whether the longest previous factor, and the longest next one, reach the depth."""
+    ``place``: where each starts in the corpus; ``lcp``: its common prefix with the suffix before it in the order.  Returns, for each, the length of
+    the longest prefix that also starts at a smaller place, and the index of a suffix there (-1: none).  One pass with a stack: an entry's previous
+    smaller place is what lies below it, its next smaller place is what removes it; the longer common prefix of the two is the factor.
+    """
+    n = len(place)
+    factor, source = [0] * n, [-1] * n
+    stack: list[tuple[int, int]] = []  # (index, common prefix with the entry below)
+    for i in range(n + 1):
+        here, shared = (place[i], lcp[i]) if i < n else (-1, 0)
+        while stack and place[stack[-1][0]] > here:
+            j, before = stack.pop()
+            if before >= shared:
+                factor[j], source[j] = before, stack[-1][0] if stack and before else -1
+            else:
+                factor[j], source[j] = shared, i
+            shared = min(before, shared)
+        if i < n:
+            stack.append((i, shared if stack else 0))
+    return factor, source
+
+
+def window_factors(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(factor, source, rank) of the windows that start at ``at``, given in corpus order: the longest previous factor, at most ``length``; the window it
+    points at (-1: none); the rank of the window's bytes.
+
+    Windows of equal bytes stand side by side in suffix order, by place: the one before is the previous smaller place, with all ``length`` bytes in
+    common.  The first of each run goes through :func:`longest_previous` with the firsts of the other runs.
+    """
+    levels = rank_levels(data, length)
+    rank = levels[-1][1][at]
     order = np.argsort(rank, kind="stable")
-    same = rank[order][1:] == rank[order][:-1]
-    before, after = np.zeros(len(rank), bool), np.zeros(len(rank), bool)
-    before[order[1:]] = same
-    after[order[:-1]] = same
-    return before, after
+    factor, source = np.full(len(at), length, np.int64), np.full(len(at), -1, np.int64)
+    new = np.ones(len(at), bool)
+    new[1:] = rank[order][1:] != rank[order][:-1]
+    source[order[1:]] = order[:-1]
+    heads = order[new]
+    lcp = np.zeros(len(heads), np.int64)
+    lcp[1:] = common_prefixes(data, levels, at[heads[:-1]], at[heads[1:]])
+    found, back = longest_previous(heads.tolist(), lcp.tolist())
+    back = np.array(back, np.int64)
+    factor[heads], source[heads] = found, np.where(back >= 0, heads[back], -1)
+    return factor, source, rank
 
 
 def _window_places(sizes: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,14 +195,13 @@ def _window_places(sizes: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray,
     return offset[frag] + within, frag
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, rk, text): rk, a hash of the text, tells rows of one id apart; null ids and texts are set to defined values."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("rk"), text.alias("text"))
+def _keys(text_col: str, id_col: str) -> dict:
+    """__id and __rk, a hash of the text that tells rows of one id apart; null ids count as the smallest id, null texts as empty."""
+    return {"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), "__rk": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
 
 
 def _anchors(rows: DataFrame, length: int) -> DataFrame:
-    schema = pa.schema([("h", pa.int64()), ("fh", pa.int64()), ("id", pa.int64()), ("rk", pa.int64()), ("p", pa.int64()), ("n", pa.int32())])
+    schema = pa.schema([("h", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("id", pa.int64()), ("rk", pa.int64()), ("p", pa.int64()), ("n", pa.int32())])
 
     def run(batches):
         for b in slices(batches, SECTION, 2048):
@@ -148,12 +211,12 @@ def _anchors(rows: DataFrame, length: int) -> DataFrame:
                 # A text longer than two sections is cut; sections share length - 1 bytes, so each window is in one.
                 hi = min(len(data), lo + 2 * SECTION + length - 1) if len(data) > 2 * SECTION else len(data)
                 inner = np.unique(np.clip(bounds, lo, hi))
-                doc, p, n, h, fh = fragments(data[lo:hi], inner - lo, length)
+                doc, p, n, h, f = fragments(data[lo:hi], inner - lo, length)
                 if len(doc):
                     own = np.searchsorted(bounds, inner[doc], side="right") - 1
-                    yield batch(schema, h.astype(np.int64), fh.astype(np.int64), ids[own], rks[own], p + inner[doc] - bounds[own], n.astype(np.int32))
+                    yield batch(schema, h, f[:, 0], f[:, 1], ids[own], rks[own], p + inner[doc] - bounds[own], n.astype(np.int32))
 
-    return rows.mapInArrow(run, "h long, fh long, id long, rk long, p long, n int")
+    return rows.mapInArrow(run, "h long, f1 long, f2 long, id long, rk long, p long, n int")
 
 
 def _cut_fragments(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -165,10 +228,11 @@ def _cut_fragments(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame
             out = []
             for i, rk, text, asked in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
                 raw = text.encode()
-                out += [(a["h"], a["salt"], a["salts"], i, rk, a["p"], a["n"], a["times"], raw[a["p"] : a["p"] + a["n"] + length - 1]) for a in asked]
-                if len(out) > 20_000:
-                    yield batch(schema, *zip(*out, strict=True))
-                    out = []
+                for a in asked:
+                    out.append((a["h"], a["salt"], a["salts"], i, rk, a["p"], a["n"], a["times"], raw[a["p"] : a["p"] + a["n"] + length - 1]))
+                    if len(out) >= 4096:
+                        yield batch(schema, *zip(*out, strict=True))
+                        out = []
             if out:
                 yield batch(schema, *zip(*out, strict=True))
 
@@ -186,9 +250,12 @@ def _sorted_groups(pieces: DataFrame, length: int, first: bool) -> DataFrame:
         salts = np.array([r[2] for r in held])
         data = np.frombuffer(b"".join(r[8] for r in held), np.uint8)
         at, frag = _window_places(np.array([len(r[8]) for r in held]), ns)
-        rank = suffix_ranks(data, length)[at]
-        before, after = earlier_later(rank)
-        gone = before if first else before | after | (times[frag] > 1)
+        factor, source, rank = window_factors(data, at, length)
+        later = factor >= length
+        gone = later.copy()
+        if not first:
+            gone[source[later]] = True  # the earlier place of a factor goes as well, as do fragments with copies
+            gone |= times[frag] > 1
         p = at - at[np.concatenate([[0], np.cumsum(ns)])[:-1]][frag] + ps[frag]
         a = gone.copy()
         a[1:] &= ~gone[:-1] | (frag[1:] != frag[:-1])
@@ -200,10 +267,9 @@ def _sorted_groups(pieces: DataFrame, length: int, first: bool) -> DataFrame:
             yield batch(schema, none.astype(np.int32), ids[frag[a]], rks[frag[a]], p[a], p[z] + length, none, none, none)
         if (salts > 1).any():
             total = np.bincount(rank, weights=times[frag])
-            lead = np.flatnonzero((salts[frag] > 1) & ~before)
-            w = RangeHash(data)(at[lead], at[lead] + length)
-            w2 = RangeHash(data[::-1])(len(data) - at[lead] - length, len(data) - at[lead])
-            yield batch(schema, np.ones(len(lead), np.int32), ids[frag[lead]], rks[frag[lead]], p[lead], p[lead] + length, w.astype(np.int64), w2.astype(np.int64), total[rank[lead]].astype(np.int64))
+            lead = np.flatnonzero((salts[frag] > 1) & ~later)
+            w = digests(data, at[lead], at[lead] + length)
+            yield batch(schema, np.ones(len(lead), np.int32), ids[frag[lead]], rks[frag[lead]], p[lead], p[lead] + length, w[:, 0], w[:, 1], total[rank[lead]].astype(np.int64))
 
     def run(batches):
         held, size, key = [], 0, None
@@ -224,29 +290,46 @@ def _sorted_groups(pieces: DataFrame, length: int, first: bool) -> DataFrame:
 
 
 def repeated_spans(rows: DataFrame, length: int, first: bool) -> DataFrame:
-    """(id, rk, spans): byte spans to remove from each of ``rows`` (id, rk, text) that has any; spans may overlap."""
+    """(id, rk, spans): byte spans to remove from each of ``rows`` (id, rk, text; no two with equal id and rk) that has any; spans may overlap."""
     ship_code(rows.sparkSession)
-    # Written down first: a join of two plain exchanges lets Spark split the partition of a very common gram.
-    many = materialize(_anchors(rows, length).groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"), "lpf-grams")
-    met = materialize(_anchors(rows, length).join(many, "h"), "lpf-anchors")
-    classes = met.groupBy("h", "fh").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "rk", "p", "n")).alias("at"))
-    classes = materialize(classes.select("h", "fh", "times", "at"), "lpf-classes")
-    several = classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    anchors = materialize(_anchors(rows, length), "lpf-anchors")
+    # Counts are written down before they are joined: a join of two plain exchanges lets Spark split the partition of a very common gram.
+    many = materialize(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"), "lpf-grams")
+    met = materialize(anchors.join(many, "h"), "lpf-met")
+    classes = met.groupBy("h", "f1", "f2").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "rk", "p", "n")).alias("at"))
+    classes = materialize(classes.select("h", "f1", "f2", "times", "at"), "lpf-classes")
+    several = materialize(classes.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "lpf-several")
     salts = F.ceil(F.col("kinds") / CLASSES).cast("int")
-    wanted = classes.join(several, "h").select("at.*", "h", F.pmod(F.xxhash64("fh"), salts).cast("int").alias("salt"), salts.alias("salts"), "times")
+    wanted = classes.join(several, "h").select("at.*", "h", F.pmod(F.xxhash64("f1", "f2"), salts).cast("int").alias("salt"), salts.alias("salts"), "times")
     solved = materialize(_sorted_groups(_cut_fragments(rows, wanted, length), length, first), "lpf-spans")
     place = F.struct("id", "rk", "p")
-    copies = met.join(classes.filter("times > 1").select("h", "fh", F.struct("at.id", "at.rk", "at.p").alias("lead")), ["h", "fh"])
+    copies = met.join(classes.filter("times > 1").select("h", "f1", "f2", F.struct("at.id", "at.rk", "at.p").alias("lead")), ["h", "f1", "f2"])
     if first:
         copies = copies.filter(place != F.col("lead"))
     spans = copies.select("id", "rk", F.col("p").alias("s"), (F.col("p") + F.col("n") + length - 1).alias("e"))
     spans = spans.unionByName(solved.filter("kind = 0").select("id", "rk", "s", "e"))
     met_again = solved.filter("kind = 1")
-    across = met_again.groupBy("w1", "w2").agg(F.sum("times").alias("all"), F.min(F.struct("id", "rk", "s")).alias("lead")).filter("all > 1")
+    across = materialize(met_again.groupBy("w1", "w2").agg(F.sum("times").alias("all"), F.min(F.struct("id", "rk", "s")).alias("lead")).filter("all > 1"), "lpf-across")
     again = met_again.join(across, ["w1", "w2"])
     again = again.filter(F.struct("id", "rk", "s") != F.col("lead")) if first else again
     spans = spans.unionByName(again.select("id", "rk", "s", "e"))
-    return spans.groupBy("id", "rk").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    return spans.groupBy("id", "rk").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+
+
+def _one_of_equals(keyed: DataFrame) -> DataFrame:
+    """``keyed`` with __copy: null for a row without equals, "first" for one of the rows that repeat an id and a text, "later" for the others.
+
+    The first is that of the smallest digest of all its columns, and of rows equal in everything any one; the choice is written down, so it stays.
+    """
+    equal = materialize(keyed.groupBy("__id", "__rk").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__id", "__rk"), "lpf-equal")
+    if equal.isEmpty():
+        return keyed.withColumn("__copy", F.lit(None).cast("string"))
+    names = [c for c in keyed.columns if c not in ("__id", "__rk")]
+    rows = keyed.join(equal, ["__id", "__rk"], "left_semi").withColumns({"__uid": F.monotonically_increasing_id(), "__own": F.md5(F.to_json(F.struct(*names)))})
+    rows = materialize(rows, "lpf-equal-rows")
+    firsts = rows.groupBy("__id", "__rk").agg(F.min(F.struct("__own", "__uid"))["__uid"].alias("__uid")).select("__uid", F.lit("first").alias("__copy"))
+    rows = rows.join(firsts, "__uid", "left").withColumn("__copy", F.coalesce("__copy", F.lit("later")))
+    return keyed.join(equal, ["__id", "__rk"], "left_anti").withColumn("__copy", F.lit(None).cast("string")).unionByName(rows.drop("__uid", "__own"))
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -263,28 +346,32 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def remove_repeats(docs: DataFrame, length: int = 200, keep: str = "first", id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
     """``docs`` with the repeated strings of ``length`` bytes (UTF-8) cut out of ``text_col``.
 
-    ``keep="first"``: a byte goes if a string of ``length`` bytes over it starts at an earlier place too (by id, then place), so one copy stays.
-    ``keep="none"``: it goes if such a string starts at any other place.  Strings are judged on the input; matches never cross
-    documents; overlaps count.  A character of which some bytes go is dropped.  Null texts stay null, shorter ones as they are.
-    Rows that repeat an id and a text count as two places, with the same bytes removed.
+    ``keep="first"``: a byte goes if a string of ``length`` bytes over it starts at an earlier place too (by id, then hash of the text, then place), so
+    one copy stays.  ``keep="none"``: it goes if such a string starts at any other place.  Strings are judged on the input; matches never cross
+    documents; overlaps count.  A character of which some bytes go is dropped.  Null texts stay null, shorter ones as they are; null ids count as the
+    smallest id.  Rows that repeat an id and a text are as many places: one of them is the first, the others are later copies as a whole.
+    Other columns, whatever their names, stay as they are.
 
     ``digest=True``: instead id, n_bytes, n_removed, n_spans (maximal runs), kept_sha256.
     """
     if keep not in ("first", "none"):
         raise ValueError("keep must be 'first' or 'none'")
-    spans = repeated_spans(_rows(docs, id_col, text_col), length, keep == "first")
-    plain = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))), "__rk": F.xxhash64(plain)})
-    joined = keyed.join(spans.withColumnsRenamed({"id": "__id", "rk": "__rk", "spans": "__spans"}), ["__id", "__rk"], "left").drop("__id", "__rk")
-    id_type = docs.schema[id_col].dataType.simpleString()
     names = docs.columns
+    keyed = _one_of_equals(docs.withColumns(_keys(text_col, id_col)))
+    rows = keyed.filter("__copy IS NULL OR __copy = 'first'").select(F.col("__id").alias("id"), F.col("__rk").alias("rk"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    spans = repeated_spans(rows, length, keep == "first")
+    whole = F.coalesce(F.col("__copy") == "later", F.lit(False)) if keep == "first" else F.col("__copy").isNotNull()
+    joined = keyed.join(spans.withColumnsRenamed({"id": "__id", "rk": "__rk", "spans": "__spans"}), ["__id", "__rk"], "left")
+    # A text that goes as a whole is one span, beyond its end.
+    joined = joined.withColumn("__spans", F.when(whole, F.array(F.struct(F.lit(0).cast("long").alias("s"), F.lit(1 << 62).cast("long").alias("e")))).otherwise(F.col("__spans"))).drop("__id", "__rk", "__copy")
+    id_type = docs.schema[id_col].dataType.simpleString()
 
     def cut(raw: bytes, spans) -> tuple[bytes, list]:
-        runs = merge([(x["s"], x["e"]) for x in spans])
+        runs = [(s, min(e, len(raw))) for s, e in merge([(x["s"], x["e"]) for x in spans])] if len(raw) >= length else []
         edges = [0, *(v for run in runs for v in run), len(raw)]
         return b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)), runs
 
-    def digests(batches):
+    def digested(batches):
         schema = None
         for b in slices(batches):
             schema = schema or pa.schema([pa.field("id", b.schema.field(0).type), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
@@ -296,7 +383,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, keep: str = "first", id_c
             yield batch(schema, *zip(*out, strict=True))
 
     if digest:
-        return joined.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), "__spans").mapInArrow(digests, f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col)
+        return joined.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), "__spans").mapInArrow(digested, f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col)
 
     def texts(batches):
         schema = None
@@ -305,7 +392,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, keep: str = "first", id_c
             schema = schema or pa.schema(list(b.schema)[:-1])
             column = b.column(at).to_pylist()
             for k, spans in enumerate(b.column(b.num_columns - 1).to_pylist()):
-                if spans:
+                if spans and column[k]:
                     column[k] = cut(column[k].encode(), spans)[0].decode("utf-8", "ignore")
             yield batch(schema, *[column if k == at else b.column(k) for k in range(b.num_columns - 1)])
 

@@ -94,3 +94,77 @@ def test_empty_nulls_and_repeated_rows(spark):
     docs = spark.createDataFrame([(1, t), (1, t), (None, t + "z"), (None, None)], "doc_id long, text string")
     got = sorted(map(str, suffix.remove_repeats(docs, 50, "none", digest=True).select("doc_id", "n_bytes", "n_removed").collect()))
     assert got == sorted(["Row(doc_id=1, n_bytes=60, n_removed=60)"] * 2 + ["Row(doc_id=None, n_bytes=61, n_removed=60)", "Row(doc_id=None, n_bytes=0, n_removed=0)"])
+
+
+def brute_rows(rows, length, first):
+    """As :func:`brute` for rows (id, text) that may repeat ids and texts: a list of (id, kept bytes), rows in the operator's order."""
+    raw = [(t or "").encode() for _, t in rows]
+    count, seen, out = {}, set(), []
+    for b in raw:
+        for p in range(len(b) - length + 1):
+            count[b[p : p + length]] = count.get(b[p : p + length], 0) + 1
+    for (i, _), b in zip(rows, raw, strict=True):
+        gone = np.zeros(len(b), bool)
+        for p in range(len(b) - length + 1):
+            w = b[p : p + length]
+            if (w in seen) if first else count[w] > 1:
+                gone[p : p + length] = True
+            seen.add(w)
+        out.append((i, bytes(np.frombuffer(b, np.uint8)[~gone])))
+    return out
+
+
+@pytest.mark.parametrize("keep", ["first", "none"])
+@pytest.mark.parametrize("parts", [1, 5])
+def test_repeated_rows_and_null_ids(spark, keep, parts):
+    """One of the rows that repeat an id and a text is the first copy, with or without an id; nothing is lost."""
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdef ") for _ in range(n))
+    t, u, v = text(400), text(300), text(350)
+    rows = [(None, v), (None, v), (1, t), (1, t), (1, t), (2, u + t[40:330] + text(50)), (3, v[100:] + text(80)), (4, "short"), (4, "short"), (5, None), (5, None), (6, u)]
+    docs = spark.createDataFrame([(*r, k % 2) for k, r in enumerate(rows)], "doc_id long, text string, spans int").repartition(parts)
+    want = sorted((-1 if i is None else i, b) for i, b in brute_rows(rows, 100, keep == "first"))
+    got = sorted((-1 if r.doc_id is None else r.doc_id, (r.text or "").encode()) for r in suffix.remove_repeats(docs, 100, keep).collect())
+    assert got == want
+    if keep == "first":
+        assert {t.encode(), v.encode()} <= {b for _, b in got}
+    digests = sorted((-1 if r.doc_id is None else r.doc_id, r.kept_sha256) for r in suffix.remove_repeats(docs, 100, keep, digest=True).collect())
+    assert digests == sorted((i, hashlib.sha256(b).hexdigest()) for i, b in want)
+
+
+def test_digests_tell_structured_strings_apart(spark):
+    """Thue-Morse strings and their complements collide under polynomial hashes modulo powers of two, whatever the base."""
+    bits = np.array([bin(i).count("1") & 1 for i in range(2048)])
+    one, other = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    rows = [(1, "x" * 70 + one), (2, "x" * 70 + other)]
+    got = {r.doc_id: tuple(r)[1:] for r in suffix.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 1500, "none", digest=True).collect()}
+    assert got == brute(rows, 1500, False)
+
+
+def test_longest_previous_factors():
+    rng = np.random.default_rng(3)
+    for alphabet in (1, 2, 4):
+        raw = bytes(rng.integers(97, 97 + alphabet, 300).astype(np.uint8))
+        order = sorted(range(len(raw)), key=lambda i: raw[i:])
+        common = lambda a, b: next((k for k in range(len(raw)) if max(a, b) + k >= len(raw) or raw[a + k] != raw[b + k]), len(raw))  # noqa: E731, B023
+        lcp = [0] + [common(a, b) for a, b in zip(order, order[1:])]
+        factor, source = suffix.longest_previous(order, lcp)
+        for k, p in enumerate(order):
+            assert factor[k] == max((common(p, q) for q in range(p)), default=0)
+            assert (source[k] == -1) == (factor[k] == 0)
+            if factor[k]:
+                assert order[source[k]] < p and common(p, order[source[k]]) == factor[k]
+
+
+def test_window_factors():
+    rng = np.random.default_rng(5)
+    data = np.concatenate([rng.integers(97, 99, 600), rng.integers(97, 99, 60)] * 2).astype(np.uint8)
+    at = np.sort(rng.choice(len(data) - 40, 500, replace=False))
+    factor, source, _ = suffix.window_factors(data, at, 40)
+    raw = data.tobytes()
+    common = lambda a, b: next((k for k in range(40) if raw[a + k] != raw[b + k]), 40)
+    for k in range(len(at)):
+        best = max((common(at[k], at[j]) for j in range(k)), default=0)
+        assert factor[k] == best
+        if best:
+            assert source[k] < k and common(at[k], at[source[k]]) == best
