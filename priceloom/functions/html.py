@@ -75,13 +75,20 @@ def tree(html: str) -> Node:
 
 @dataclass(frozen=True)
 class Layout:
-    """Where a retailer's pages keep things; each is a set of (tag or None, class or None)."""
+    """Where a retailer's pages keep things; each is a set of (tag or None, class or None).
+
+    ``stock_in`` and ``stock_out`` are elements that tell availability by being there (as does an attribute ``data-available``); ``stock_class`` is text in
+    the class of the stock element that says in stock.
+    """
 
     containers: tuple = ()
     cards: tuple = ()
     titles: tuple = ()
     price: tuple = ()
     stock: tuple = ()
+    stock_in: tuple = ()
+    stock_out: tuple = ()
+    stock_class: str | None = None
     crumbs: tuple = ()
     category: str = "General"
     currency: str = "USD"
@@ -99,11 +106,12 @@ def _first(node: Node, wanted: tuple) -> Node | None:
 
 #: The two known layouts.
 BOOKS = Layout(
-    cards=(("article", "product_pod"),), titles=(("h3", None),), price=(("p", "price_color"),), stock=((None, "availability"),), crumbs=(("ul", "breadcrumb"),), category="Books", currency="GBP", text_is_name=False, numeric_ids=False,
+    cards=(("article", "product_pod"),), titles=(("h3", None),), price=(("p", "price_color"),), stock=((None, "availability"),), stock_class="instock", crumbs=(("ul", "breadcrumb"),), category="Books", currency="GBP", text_is_name=False, numeric_ids=False,
 )
 CARDS = Layout(
     containers=(("div", "product-grid"), ("div", "product-list"), ("ol", "product-list")), cards=(("article", "product-card"), ("div", "product-card"), ("li", "product-item")), titles=(("h2", None), ("h3", None)),
-    price=(("span", "price"), ("p", "price"), ("span", "product-price"), ("data", "price")), stock=((None, "availability"), (None, "stock")), crumbs=(("ul", "breadcrumb"), ("nav", "breadcrumb")),
+    price=(("span", "price"), ("p", "price"), ("span", "product-price"), ("data", "price")), stock=(("span", "availability"), ("p", "availability"), ("span", "stock-status"), (None, "stock")),
+    stock_in=(("span", "in-stock"), ("span", "available")), stock_out=(("span", "out-of-stock"), ("span", "unavailable")), crumbs=(("ul", "breadcrumb"), ("nav", "breadcrumb")),
 )
 
 
@@ -117,21 +125,29 @@ def _category(root: Node, layout: Layout) -> str:
     return (head.text() if head else "") or layout.category
 
 
+def _mark(card: Node, stock: Node | None, layout: Layout) -> str | None:
+    """Availability by classes and attributes: in stock before out of stock."""
+    said = {n.attrs["data-available"] for n in card.walk() if "data-available" in n.attrs}
+    if (layout.stock_class and stock and layout.stock_class in stock.attrs.get("class", "")) or _first(card, layout.stock_in) or "true" in said:
+        return "in_stock"
+    return "out_of_stock" if _first(card, layout.stock_out) or "false" in said else None
+
+
 def _card(card: Node, layout: Layout) -> tuple:
     title = _first(card, layout.titles)
     link = next((n for n in title.walk() if n.tag == "a"), None) if title else None
     if link is None:
-        return None, None, None, None, "missing link"
+        return None, None, None, None, None, "missing link"
     name = (link.attrs.get("title") or (link.text() if layout.text_is_name else "")).strip()
     href = link.attrs.get("href", "").strip()
     price, stock = _first(card, layout.price), _first(card, layout.stock)
     shown = price.text() if price else next((n.attrs["data-price"] for n in card.walk() if "data-price" in n.attrs), None)
     why = "missing name" if not name else "missing url" if not href else None
-    return name, href, shown, (stock.text() if stock else None), why
+    return name, href, shown, (stock.text() if stock else None), _mark(card, stock, layout), why
 
 
 def extract(html: str | None, layout: Layout) -> tuple[list[tuple], bool, str | None]:
-    """((name, href, price text, stock text, reason why malformed) of each card, structure changed, link to the next page)."""
+    """((name, href, price text, stock text, stock mark, reason why malformed, category) of each card, structure changed, link to the next page)."""
     if not html or not html.strip():
         return [], False, None
     root = tree(html)
@@ -143,8 +159,8 @@ def extract(html: str | None, layout: Layout) -> tuple[list[tuple], bool, str |
     return [(*_card(c, layout), category) for c in cards], bool(layout.containers) and inside is None and not cards, (link.attrs.get("href", "").strip() or None) if link else None
 
 
-_OUT = pa.schema([("page_url", pa.string()), ("ordinal", pa.int32()), ("name", pa.string()), ("href", pa.string()), ("url", pa.string()), ("price_text", pa.string()), ("stock_text", pa.string()), ("category", pa.string()), ("malformed", pa.string()), ("structural_change", pa.bool_()), ("next_url", pa.string())])
-_DDL = "page_url string, ordinal int, name string, href string, url string, price_text string, stock_text string, category string, malformed string, structural_change boolean, next_url string"
+_OUT = pa.schema([("page_url", pa.string()), ("ordinal", pa.int32()), ("name", pa.string()), ("href", pa.string()), ("url", pa.string()), ("price_text", pa.string()), ("stock_text", pa.string()), ("stock_mark", pa.string()), ("category", pa.string()), ("malformed", pa.string()), ("structural_change", pa.bool_()), ("next_url", pa.string())])
+_DDL = "page_url string, ordinal int, name string, href string, url string, price_text string, stock_text string, stock_mark string, category string, malformed string, structural_change boolean, next_url string"
 
 
 def parse_pages(pages: DataFrame, layout: Layout, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -157,8 +173,8 @@ def parse_pages(pages: DataFrame, layout: Layout, url_col: str = "url", html_col
             out = []
             for url, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 cards, changed, nxt = extract(html, layout)
-                out.append((url, -1, None, None, None, None, None, None, None, changed, urljoin(url or "", nxt) if nxt else None))
-                out += [(url, i, name, href, urljoin(url or "", href) if href else None, price, stock, category, why, False, None) for i, (name, href, price, stock, why, category) in enumerate(cards)]
+                out.append((url, -1, None, None, None, None, None, None, None, None, changed, urljoin(url or "", nxt) if nxt else None))
+                out += [(url, i, name, href, urljoin(url or "", href) if href else None, price, stock, mark, category, why, False, None) for i, (name, href, price, stock, mark, why, category) in enumerate(cards)]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _OUT, strict=True)], schema=_OUT)
 
     return pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(run, _DDL)
@@ -171,4 +187,19 @@ def products_of(parsed: DataFrame, layout: Layout) -> DataFrame:
     pid = leading_digits(slug) if layout.numeric_ids else slug
     named = F.substring(F.regexp_replace(F.lower("name"), " ", "-"), 1, 80)
     good = parsed.filter("ordinal >= 0 AND malformed IS NULL")
-    return good.select("page_url", "ordinal", F.coalesce(blank_to_null(pid), named).alias("product_id"), "name", price.alias("price"), currency.alias("currency"), availability_of(F.coalesce("stock_text", F.lit(""))).alias("availability"), "category", "url")
+    return good.select("page_url", "ordinal", F.coalesce(blank_to_null(pid), named).alias("product_id"), "name", price.alias("price"), currency.alias("currency"), availability_of(F.coalesce("stock_text", F.lit("")), F.col("stock_mark")).alias("availability"), "category", "url")
+
+
+def follow_pages(parsed: DataFrame, first: DataFrame, max_pages: int = 5) -> DataFrame:
+    """(start_url, page_url, page_no) of the landed pages that paging reaches from each url of ``first`` (url), by the next links of ``parsed``.
+
+    A page is landed if ``parsed`` has its row; paging stops at a page that is not there or has no next link, and after ``max_pages``, so the pages before a
+    missing one stay.  Each step is a join of the pages reached last with the links: the number of steps is the parameter, not the data's.
+    """
+    links = parsed.filter("ordinal = -1").groupBy("page_url").agg(F.min("next_url").alias("next_url"))
+    here = first.select(F.col("url").alias("start_url"), F.col("url").alias("page_url")).distinct().join(links, "page_url").withColumn("page_no", F.lit(1))
+    reached = here
+    for n in range(2, max_pages + 1):
+        here = here.filter("next_url IS NOT NULL").select("start_url", F.col("next_url").alias("page_url")).join(links, "page_url").withColumn("page_no", F.lit(n))
+        reached = reached.unionByName(here)
+    return reached.select("start_url", "page_url", "page_no")

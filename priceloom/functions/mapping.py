@@ -96,14 +96,36 @@ def marketplace(items: DataFrame, source: str = "ebay", base: str = "https://www
         qualified(source, F.col("itemId")).alias("listing_id"), qualified(source, F.col("seller.username")).alias("seller_id")), source)
 
 
+def seller(s: Column, source: str) -> Column:
+    """struct(seller_id, username, metadata) of a seller (username, feedbackScore, feedbackPercentage); null without a name.  Feedback is metadata only."""
+    name = blank_to_null(s["username"])
+    meta = _known({"feedback_score": s["feedbackScore"].cast("string"), "feedback_percentage": s["feedbackPercentage"].cast("string")})
+    return F.when(name.isNotNull(), F.struct(qualified(source, name).alias("seller_id"), name.alias("username"), meta.alias("metadata")))
+
+
+def _known(values: dict[str, Column]) -> Column:
+    """A map of the values that are not null."""
+    return F.map_filter(F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v)]), lambda _, v: v.isNotNull())
+
+
 def market_listing(items: DataFrame, source: str = "ebay", base: str = "https://www.ebay.com") -> DataFrame:
-    """A listing with its seller and a metadata map without nulls."""
+    """A listing with its seller, product key (of an explicit identifier, if any) and a metadata map without nulls.
+
+    Metadata: condition, availability_raw (whether in stock, where availability is told), category_id, price and currency; for a price that is refused
+    (negative) price_original instead.
+    """
+    has = set(items.columns)
     price, currency = market_price(F.col("price.value"), F.col("price.currency"))
-    name = blank_to_null(F.col("seller.username"))
-    meta = F.map_filter(F.create_map(F.lit("condition"), condition(F.col("condition")), F.lit("seller"), name, F.lit("category"), F.try_element_at("categoryIds", F.lit(-1))), lambda _, v: v.isNotNull())
+    stock = market_stock(F.col("shipTo"), F.col("pickup"))
+    told = F.col("price.value").isNotNull()
+    meta = _known({
+        "condition": condition(F.col("condition")), "availability_raw": F.when(stock != "unknown", (stock == "in_stock").cast("string")), "category_id": F.try_element_at("categoryIds", F.lit(-1)),
+        "price": price.cast("string"), "price_original": F.when(price.isNull() & told, F.col("price.value").try_cast("double").cast("string")), "currency": F.when(told, currency),
+    })
     return items.select(
-        qualified(source, F.col("itemId")).alias("listing_id"), F.col("title"), price.alias("price"), currency.alias("currency"), condition(F.col("condition")).alias("condition"),
-        listing_url(F.col("itemWebUrl"), F.col("itemId"), base).alias("url"), F.when(name.isNotNull(), F.struct(qualified(source, name).alias("seller_id"), name.alias("username"))).alias("seller"), meta.alias("metadata"))
+        qualified(source, F.col("itemId")).alias("listing_id"), strip(F.col("title")).alias("title"), price.alias("price"), currency.alias("currency"), condition(F.col("condition")).alias("condition"),
+        listing_url(F.col("itemWebUrl"), F.col("itemId"), base).alias("url"), seller(F.col("seller"), source).alias("seller"),
+        (product_key(source, F.col("identifiers")) if "identifiers" in has else F.lit(None).cast("string")).alias("product_key"), meta.alias("metadata"))
 
 
 #: Identifier kinds in order of preference and the form of each.
@@ -126,12 +148,26 @@ def product_key(source: str | Column, metadata: Column) -> Column:
     return qualified(source, identifier(metadata)["value"])
 
 
+#: Phrases, in lower case, of pages that are answered with 200 but block a client or say that the service is down.
+BLOCKED = ("captcha", "robot check", "are you a human", "bot detection", "access denied", "verify you are human")
+UNAVAILABLE = ("service unavailable", "under maintenance", "temporarily unavailable", "we'll be back", "sorry for the inconvenience")
+
+
 def response_class(status: Column, body: Column) -> Column:
-    """What an HTTP answer means for a page source."""
+    """What an HTTP answer means for a page source: the status decides, and for 200 the phrases in the page."""
     text = F.lower(F.coalesce(body, F.lit("")))
-    says = lambda *words: reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
+    says = lambda phrases: reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in phrases])
     return (
         F.when(status == 429, "rate_limited").when(status == 503, "unavailable").when(status == 403, "blocked")
-        .when((status == 200) & says("access denied", "captcha", "verify you are human"), "blocked").when((status == 200) & says("maintenance", "temporarily unavailable"), "unavailable")
+        .when((status == 200) & says(BLOCKED), "blocked").when((status == 200) & says(UNAVAILABLE), "unavailable")
         .when(status >= 400, "error").otherwise("ok")
     )
+
+
+def assign_listings(assigned: DataFrame, changes: DataFrame, order: str = "seq") -> DataFrame:
+    """The table (listing_id, product_key) after ``changes`` (listing_id, product_key, ``order``): the last change of a listing wins over earlier ones and
+    over the table.  A change without a listing or key is refused, so it changes nothing.  Listings of a product are the rows with its key."""
+    good = changes.filter((F.coalesce("listing_id", F.lit("")) != "") & (F.coalesce("product_key", F.lit("")) != ""))
+    last = good.groupBy("listing_id").agg(F.max_by("product_key", F.struct(order, "product_key")).alias("new_key"))
+    both = assigned.join(last, "listing_id", "full_outer")
+    return both.select("listing_id", F.coalesce("new_key", "product_key").alias("product_key"))

@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from priceloom.schemas import PRICE
 
 
+#: The code points of the Unicode property White_Space.
+WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(c: Column) -> Column:
-    """Without leading and trailing Unicode white space (``trim`` takes spaces only)."""
-    return F.regexp_replace(F.regexp_replace(c, r"(?U)^\s+", ""), r"(?U)\s+$", "")
+    """Without leading and trailing Unicode white space (``trim`` alone takes spaces only); a trim of a set of characters, several times as fast as a regex."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -44,17 +48,21 @@ def path_segment(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"[^a-zA-Z0-9\-_.]", "_"), r"\.{2,}", ".")
 
 
-#: The currency of each symbol.
+#: The currency of each symbol, the first found counts; a separator of thousands.
 SYMBOLS = {"$": "USD", "€": "EUR", "£": "GBP"}
+THOUSANDS = r"(?<=\d)[,.](?=\d{3}(?:[^\d]|$))"
 
 
 def price_text(c: Column, default: str) -> tuple[Column, Column]:
-    """(price, currency) of a text such as ``£1,234.50``; the default currency where there is no symbol, a null price where there is no number."""
+    """(price, currency) of a text such as ``£1,234.50``; the default currency where there is no symbol, a null price where there is no number.
+
+    A comma or dot before three digits that end there separates thousands: ``€1.234`` is 1234.
+    """
     currency = F.lit(default)
-    for sign, code in SYMBOLS.items():
+    for sign, code in reversed(SYMBOLS.items()):
         currency = F.when(F.contains(c, F.lit(sign)), code).otherwise(currency)
-    digits = strip(F.regexp_replace(c, "[$€£]", ""))
-    plain = F.regexp_replace(digits, r",(?=\d{3}(\D|$))", "")
+    digits = strip(F.translate(c, "".join(SYMBOLS), ""))
+    plain = F.regexp_replace(digits, THOUSANDS, "")
     return plain.try_cast(PRICE), F.when(c.isNotNull(), currency)
 
 
@@ -69,8 +77,19 @@ def leading_digits(slug: Column) -> Column:
     return F.when(found != "", found).otherwise(slug)
 
 
-def availability_of(text: Column) -> Column:
-    """Negative phrases are tested first, so that ``unavailable`` is not taken for ``available``."""
+def availability_of(text: Column, mark: Column | None = None) -> Column:
+    """Availability by what is written; where that says nothing, by ``mark`` (from classes and attributes), else unknown.
+
+    Negative phrases are tested first, so that ``unavailable`` is not taken for ``available``.
+    """
     t = F.lower(text)
     has = lambda *words: t.rlike("|".join(words))
-    return F.when(has("out of stock", "unavailable", "not available", "sold out"), "out_of_stock").when(has("pre-?order"), "preorder").when(has("in stock", "available"), "in_stock").otherwise("unknown")
+    said = F.when(has("out of stock", "unavailable", "not available", "sold out"), "out_of_stock").when(has("pre-?order", "coming soon"), "preorder").when(has("in stock", "available"), "in_stock")
+    return F.coalesce(said, *([mark] if mark is not None else []), F.lit("unknown"))
+
+
+def utc_bound(c: Column) -> Column:
+    """A bound of a time range, from text: without an offset it is UTC, whatever the session's zone; a day alone is its midnight; else null."""
+    day = c.rlike(r"^\d{4}-\d{2}-\d{2}$")
+    zoned = c.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
+    return F.when(day, F.concat(c, F.lit("T00:00:00Z"))).when(zoned, c).otherwise(F.concat(c, F.lit("Z"))).try_cast("timestamp")

@@ -30,21 +30,21 @@ def dead_letter(rows: DataFrame, topic: Column, value: str = "value") -> DataFra
     return rows.select(F.sha2(F.concat_ws("|", *at), 256).alias("letter_id"), topic.alias("topic"), "partition", "offset", F.base64(F.col(value).cast("binary")).alias("raw"), "error")
 
 
-def flatten(events: DataFrame) -> DataFrame:
-    """Envelope and payload as flat columns, in contract order."""
+def flatten(events: DataFrame, *also: str) -> DataFrame:
+    """Envelope and payload as flat columns, in contract order, then the columns ``also``."""
     top = {f.name for f in EVENT.fields}
     cols = [F.col(f.name) if f.name in top else F.col(f"payload.{f.name}").alias(f.name) for f in RECORD.fields]
-    return events.select(*cols)
+    return events.select(*cols, *also)
 
 
-def normalize(flat: DataFrame) -> DataFrame:
-    """Declared types; white space goes from names, not from ids or urls; what does not parse becomes null."""
+def normalize(flat: DataFrame, *also: str) -> DataFrame:
+    """Declared types (the columns ``also`` as they are); white space goes from names, not from ids or urls; what does not parse becomes null."""
     as_text = lambda n: F.col(n).cast("string")
     made = {
         "schema_version": as_text("schema_version").try_cast("long"), "price": to_price(as_text("price")), "produced_at": to_utc(as_text("produced_at")),
         "collected_at": to_utc(as_text("collected_at")), "availability": F.lower(strip(as_text("availability"))),
     } | {n: strip(as_text(n)) for n in ("name", "category", "currency", "source", "event_type")}
-    return flat.select(*[made.get(f.name, as_text(f.name)).alias(f.name) if f.name in flat.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in RECORD.fields])
+    return flat.select(*[made.get(f.name, as_text(f.name)).alias(f.name) if f.name in flat.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in RECORD.fields], *also)
 
 
 def violations() -> list[Column]:
@@ -69,37 +69,65 @@ def validate(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.filter(F.col(ERRORS) == "").drop(ERRORS), rows.filter(F.col(ERRORS) != "")
 
 
+def _hashes(columns: list[str]) -> list[Column]:
+    """Two 64-bit hashes of the columns, each with whether it is null, so that null differs from every value and columns don't run together."""
+    marked = [x for c in columns for x in (F.col(c), F.col(c).isNull())]
+    return [F.xxhash64(F.lit(seed), *marked) for seed in ("a", "b")]
+
+
+def _text_of(one: Column, other: Column) -> Column:
+    return F.concat(F.lpad(F.hex(one), 16, "0"), F.lpad(F.hex(other), 16, "0"))
+
+
 def payload_hash(columns: list[str]) -> Column:
-    """Hash in which null differs from every value and columns don't run together."""
-    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+    """128 bits as hex, in which null differs from every value and columns don't run together."""
+    return _text_of(*_hashes(columns))
+
+
+#: Groups into which the rows of one id are split before its first row is chosen.
+SPLIT = 64
+
 
+def status(rows: DataFrame, key: str = "event_id", order: str | list[str] = "ingest_seq", payload: list[str] | None = None, seen: DataFrame | None = None, among: Column | None = None) -> DataFrame:
+    """Add ``hash`` and ``status``: conflict (an id with differing payloads, ``seen`` included) before duplicate (a replay) before unique, exactly one each.
 
-def status(rows: DataFrame, key: str = "event_id", order: str | list[str] = "ingest_seq", payload: list[str] | None = None, seen: DataFrame | None = None) -> DataFrame:
-    """Add ``status``: conflict (an id with differing payloads, ``seen`` included) before duplicate (a replay) before unique, exactly one each.
+    ``seen`` (key, hash) holds the ids of earlier batches, a row for each payload an id has had; an id with two of them stays a conflict.  Rows on which
+    ``among`` does not hold take no part and get a null status.
 
-    ``seen`` (key, hash) holds ids of earlier batches.  An id's versions and first place are aggregated, partly before the shuffle, and joined
-    back, so an id with very many rows is split like any skewed join; only rows equal in key, order and payload are numbered by a window.
+    Rows are counted per id by numbers only, partly before the shuffle; only ids with several rows are joined back (a broadcast where they are few).  Of
+    an id's rows the first is chosen in two steps, among the rows of each of ``SPLIT`` groups and then among the groups' firsts, so an id with very many
+    rows, equal or not, is not one task.
     """
     order = [order] if isinstance(order, str) else order
     payload = payload or [c for c in rows.columns if c not in order]
-    rows = rows.withColumn("__hash", payload_hash(payload))
-    place = F.struct(*order, "__hash")
-    ids = rows.groupBy(F.col(key).alias("__id")).agg(F.min("__hash").alias("__lo"), F.max("__hash").alias("__hi"), F.min(place).alias("__first"))
-    rows = rows.join(ids, F.col(key).eqNullSafe(F.col("__id")))
-    twin = F.row_number().over(Window.partitionBy(key, *order, "__hash").orderBy(F.lit(1)))
-    rows = rows.withColumn("__n", F.when((place == F.col("__first")) & (twin == 1), 1).otherwise(2)).drop("__id", "__first")
+    one, other = _hashes(payload)
+    rows = rows.withColumns({"__h1": one, "__h2": other, "__in": F.lit(True) if among is None else among})
+    ids = rows.filter("__in").groupBy(F.col(key).alias("__id")).agg(F.count(F.lit(1)).alias("__rows"), *[f(h).alias(f"{n}{h}") for h in ("__h1", "__h2") for f, n in ((F.min, "lo"), (F.max, "hi"))]).filter("__rows > 1")
+    ids = ids.select("__id", ((F.col("lo__h1") != F.col("hi__h1")) | (F.col("lo__h2") != F.col("hi__h2"))).alias("__differ"))
+    rows = rows.join(ids, F.col(key).eqNullSafe(F.col("__id")) & F.col("__in"), "left").drop("__id")
+    alone = rows.filter("__differ IS NULL").withColumn("__again", F.lit(False))
+    by = [*order, "__h1", "__h2"]
+    many = rows.filter("__differ IS NOT NULL").withColumn("__group", F.pmod(F.spark_partition_id(), F.lit(SPLIT)))
+    many = many.withColumn("__n", F.row_number().over(Window.partitionBy(key, "__group").orderBy(*by)))
+    firsts = Window.partitionBy(key, F.when(F.col("__n") == 1, -1).otherwise(F.col("__group"))).orderBy(*by, "__group")
+    many = many.withColumn("__again", (F.col("__n") > 1) | (F.row_number().over(firsts) > 1)).drop("__group", "__n")
+    rows = alone.unionByName(many).withColumn("hash", _text_of(F.col("__h1"), F.col("__h2"))).drop("__h1", "__h2")
     if seen is None:
-        rows = rows.withColumn("__old", F.lit(None).cast("string"))
+        old = F.lit(None).cast("string")
+        differs = F.lit(False)
     else:
-        rows = rows.join(seen.select(F.col(key).alias("__key"), F.col("hash").alias("__old")), F.col(key) == F.col("__key"), "left").drop("__key")
-    conflict = (F.col("__lo") != F.col("__hi")) | (F.col("__old") != F.col("__hash"))
-    named = F.when(conflict, "conflict").when((F.col("__n") > 1) | F.col("__old").isNotNull(), "duplicate").otherwise("unique")
-    return rows.withColumn("status", F.coalesce(named, F.when(F.col("__n") > 1, "duplicate").otherwise("unique"))).withColumnRenamed("__hash", "hash").drop("__lo", "__hi", "__n", "__old")
+        versions = seen.groupBy(F.col(key).alias("__key")).agg(F.min("hash").alias("__lo"), F.max("hash").alias("__hi"))
+        rows = rows.join(versions, F.col(key) == F.col("__key"), "left").drop("__key")
+        old, differs = F.col("__lo"), F.coalesce((F.col("__lo") != F.col("hash")) | (F.col("__hi") != F.col("hash")), F.lit(False))
+    named = F.when(F.coalesce("__differ", F.lit(False)) | differs, "conflict").when(F.col("__again") | old.isNotNull(), "duplicate").otherwise("unique")
+    return rows.withColumn("status", F.when(F.col("__in"), named)).drop("__differ", "__again", "__lo", "__hi", "__in")
 
 
 def route(rows: DataFrame, **how) -> DataFrame:
-    """Normalized rows with ``route``: invalid, conflict, duplicate or valid; each row has one."""
+    """Normalized rows with ``route``: invalid, conflict, duplicate or valid; each row has one.  Invalid rows are no replays and no conflicts."""
     checked = with_violations(rows)
-    good = status(checked.filter(F.col(ERRORS) == "").drop(ERRORS), **how)
-    bad = checked.filter(F.col(ERRORS) != "").withColumn("route", F.lit("invalid"))
-    return good.withColumn("route", F.when(F.col("status") == "unique", "valid").otherwise(F.col("status"))).drop("status").unionByName(bad, allowMissingColumns=True)
+    order = how.get("order", "ingest_seq")
+    how.setdefault("payload", [c for c in rows.columns if c != order and c not in order])
+    good = status(checked, among=F.col(ERRORS) == "", **how)
+    named = F.when(F.col("status").isNull(), "invalid").when(F.col("status") == "unique", "valid").otherwise(F.col("status"))
+    return good.withColumn("route", named).drop("status").withColumn("hash", F.when(F.col("route") != "invalid", F.col("hash"))).withColumn(ERRORS, F.when(F.col(ERRORS) != "", F.col(ERRORS)))

@@ -72,10 +72,22 @@ def consumer_lag(offsets: DataFrame) -> DataFrame:
 
 
 def processing_rate(runs: DataFrame) -> DataFrame:
-    """Records per second over finished runs of positive duration, rounded to 2."""
-    seconds = F.timestamp_diff("SECOND", F.col("started_at"), F.col("finished_at"))
-    ok = runs.filter(F.col("finished_at").isNotNull() & (seconds > 0))
-    return ok.agg(rounded(F.sum("records") / F.sum(seconds.cast("double"))).alias("records_per_second"))
+    """Records per second over finished runs of positive duration that tell their records, rounded to 2; null without such a run."""
+    return runs.agg(rate_of_runs().alias("records_per_second"))
+
+
+def rate_of_runs(records: str = "records") -> Column:
+    """The aggregate behind :func:`processing_rate`; the time of a run whose records are not known does not count."""
+    seconds = (F.unix_micros(F.col("finished_at").cast("timestamp")) - F.unix_micros(F.col("started_at").cast("timestamp"))) / 1e6
+    counts = (seconds > 0) & F.col(records).isNotNull()
+    return rounded(F.sum(F.when(counts, F.col(records))) / F.sum(F.when(counts, seconds)))
+
+
+def throughput(samples: DataFrame, by: list[str], at: str = "ts", done: str = "acknowledged", rss: str = "rss_bytes", cpu: str = "cpu_seconds") -> DataFrame:
+    """Per group: events, seconds, events per second (0 without time), peak resident memory, and CPU time spent (last sample minus first)."""
+    s = (F.unix_micros(F.max(at).cast("timestamp")) - F.unix_micros(F.min(at).cast("timestamp"))) / 1e6
+    out = samples.groupBy(*by).agg(F.sum(done).alias("events"), s.alias("seconds"), F.max(rss).alias("peak_rss"), (F.max_by(cpu, at) - F.min_by(cpu, at)).alias("cpu_delta"))
+    return out.withColumn("events_per_second", F.coalesce(ratio(F.col("events"), F.col("seconds")), F.lit(0.0)))
 
 
 def arrivals(produced: DataFrame, landed: DataFrame, key: str = "event_id") -> DataFrame:
