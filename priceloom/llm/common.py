@@ -114,3 +114,42 @@ class RangeHash:
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix64((self.sums[end] - self.sums[start]) * self.inverse[start])
+
+
+#: Two primes, and for each a base of polynomial hashes; unlike powers of two, prime moduli leave structured strings no common collisions.
+_PRIMES = ((2**31 - 1, 1_103_515_245), (2**31 - 19, 1_664_525_001))
+_residues: dict[tuple[int, int], np.ndarray] = {}
+
+
+def _powers_modulo(base: int, prime: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo ``prime`` (under 2**31); kept and doubled on demand."""
+    have = _residues.get((base, prime))
+    if have is None or len(have) < n:
+        size = 1 << max(10, (n - 1).bit_length())
+        have = np.ones(size, np.uint64)
+        filled = 1
+        while filled < size:
+            have[filled : 2 * filled] = have[:filled] * np.uint64(pow(base, filled, prime)) % np.uint64(prime)
+            filled *= 2
+        _residues[base, prime] = have
+    return have[:n]
+
+
+class PrimeHash:
+    """62-bit polynomial hashes of byte ranges of a buffer, modulo two primes, mixed to 64 bits."""
+
+    def __init__(self, data: np.ndarray):
+        n, wide = len(data), data.astype(np.uint64) + np.uint64(1)
+        self.parts = []
+        for prime, base in _PRIMES:
+            terms = wide * _powers_modulo(base, prime, n)
+            if n > 1 << 23:  # sums of unreduced terms would pass 2**64
+                terms %= np.uint64(prime)
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(terms, out=sums[1:])
+            self.parts.append((np.uint64(prime), sums, _powers_modulo(pow(base, -1, prime), prime, n + 1)))
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        (p, a, inverse), (q, b, other) = self.parts
+        high = (a[end] - a[start]) % p * inverse[start] % p
+        return mix64(high << np.uint64(32) | (b[end] - b[start]) % q * other[start] % q)

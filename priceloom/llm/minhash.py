@@ -6,7 +6,7 @@ so that every coordinate of a non-empty set fills.  Two sketches agree in a shar
 similarity.
 
 Links.  Documents with equal sets are one node.  Bands of coordinates make buckets.  In each bucket, four leaders (the smallest node and
-the smallest under three hashes) are paired with every member; pairs are verified on the full sets; components of the
+the smallest after three scramblings) are paired with every member; pairs are verified on the full sets; components of the
 verified pairs follow.  What is left are buckets with members of several components; :func:`_crossing` compares across these in blocks of bounded
 size.  So no pair that shares a bucket and could join two components is skipped, no bucket reaches one task as a whole, and the pairs
 of a group are never listed.
@@ -18,15 +18,20 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from priceloom.llm.common import BASE, RangeHash, batch, materialize, mix64, slices
+from priceloom.llm.common import BASE, PrimeHash, batch, materialize, mix64, slices
 from priceloom.llm.components import components
 from priceloom.session import ship_code
 
+#: Leaders of a bucket: the smallest nodes after each of these is xor-ed in, which scrambles their order and can be undone.
 LEADERS = 4
-BLOCK = 128
+SCRAMBLE = (0, 0x2545F4914F6CDD1D, -0x61C8864680B583EB, 0x5851F42D4C957F2D)
+#: Nodes of a block whose sketches are compared, and of one whose sets are; set elements of such a block.
+BLOCK, SET_BLOCK, SET_ITEMS = 512, 128, 1 << 20
+#: Bytes of text whose words are hashed at once.
+SECTION = 1 << 18
 _U = np.uint64
 
 
@@ -39,28 +44,49 @@ def _text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, ends - ends[0]
 
 
-def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, document) of the distinct shingles of ``width`` words of every text, sorted by document and hash.
+def _section_end(space: np.ndarray, bounds: np.ndarray, lo: int) -> int:
+    """Where the section of words from ``lo`` ends: behind white space or at a text's end, SECTION bytes on if there is such a place, else at the next."""
+    n = len(space)
+    if lo + SECTION >= n:
+        return n
+    inside = np.flatnonzero(space[lo : lo + SECTION])
+    if len(inside):
+        return lo + int(inside[-1]) + 1
+    end = int(bounds[np.searchsorted(bounds, lo, side="right")])
+    for at in range(lo + SECTION, end, SECTION):
+        if (later := np.flatnonzero(space[at : min(end, at + SECTION)])).size:
+            return at + int(later[0]) + 1
+    return end
+
+
+def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text) of every word of every text in order.  Words are runs of bytes other than space and tab to carriage return, with A-Z lower-cased.
 
-    Words are runs of bytes other than space and tab to carriage return, with A-Z lower-cased; a text with fewer words has its whole
-    sequence as one shingle.
+    Texts are hashed in sections that end between words, so besides 9 bytes a word and 2 a byte of text, memory is bounded by SECTION and the longest word.
     """
     data, bounds = _text_bytes(column)
-    low = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
-    word = ~((low == 32) | ((low >= 9) & (low <= 13)))
-    edge = np.zeros(len(low) + 1, bool)
-    edge[1:-1] = word[1:] != word[:-1]
-    if len(low):
-        edge[0], edge[-1] = word[0], word[-1]
-    cut = np.zeros(len(low) + 1, bool)
-    cut[bounds] = True
-    before = np.concatenate([[False], word])
-    after = np.concatenate([word, [False]])
-    starts = np.flatnonzero(after & (~before | cut))
-    ends = np.flatnonzero(before & (~after | cut))
-    h = RangeHash(low)(starts, ends)
-    doc = np.searchsorted(bounds, starts, side="right") - 1
-    n_docs = len(bounds) - 1
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    hashes, docs, lo = [np.zeros(0, _U)], [np.zeros(0, np.int64)], 0
+    while lo < len(data):
+        hi = _section_end(space, bounds, lo)
+        low = data[lo:hi]
+        low = low + ((low >= 65) & (low <= 90)).astype(np.uint8) * np.uint8(32)
+        word = ~space[lo:hi]
+        cut = np.zeros(len(low) + 1, bool)
+        cut[bounds[np.searchsorted(bounds, lo) : np.searchsorted(bounds, hi, side="right")] - lo] = True
+        before, after = np.concatenate([[False], word]), np.concatenate([word, [False]])
+        starts, ends = np.flatnonzero(after & (~before | cut)), np.flatnonzero(before & (~after | cut))
+        hashes.append(PrimeHash(low)(starts, ends))
+        docs.append(np.searchsorted(bounds, starts + lo, side="right") - 1)
+        lo = hi
+    return np.concatenate(hashes), np.concatenate(docs)
+
+
+def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, document) of the distinct shingles of ``width`` words of every text, sorted by document and hash; a text with fewer words has its whole
+    sequence as one shingle."""
+    h, doc = word_hashes(column)
+    n_docs = len(column)
     words = np.bincount(doc, minlength=n_docs)
     # A shingle's hash is a polynomial in its words' hashes; short texts use the words they have.
     first = np.concatenate([[0], np.cumsum(words)])
@@ -172,8 +198,9 @@ def near_duplicates(
     nodes = found.filter("n > 0 AND id IS NOT NULL").groupBy("f1", "f2", "n").agg(F.min(F.struct("id", "bands", "low")).alias("first"))
     nodes = materialize(nodes.select(F.col("first.id").alias("node"), "f1", "f2", "n", "first.bands", "first.low"), "near-nodes")
     keys = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("key"))
-    order = lambda k: F.col("node") if not k else F.xxhash64(F.lit(k), "node")
-    leads = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.array_distinct(F.array(*[F.min(F.struct(order(k).alias("o"), "node"))["node"] for k in range(LEADERS)])).alias("leads")).filter("size > 1")
+    leads = [F.min(F.col("node").bitwiseXOR(F.lit(c))).bitwiseXOR(F.lit(c)) for c in SCRAMBLE[:LEADERS]]
+    # Written down first: a join of two plain exchanges would not let Spark split the partition of a very large bucket.
+    leads = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.array_distinct(F.array(*leads)).alias("leads")).filter("size > 1"), "near-leads")
     members = materialize(keys.join(leads, "key").select("key", "node", "size", "leads"), "near-buckets")
     led = members.select("node", F.explode("leads").alias("lead")).filter("node != lead").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
     led = materialize(led, "near-led")
@@ -193,80 +220,114 @@ def near_duplicates(
     return out.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))).withColumnRenamed("id", id_col)
 
 
+def _dealt(named: DataFrame, block: int, weight: Column, most: int) -> DataFrame:
+    """``named`` (key, node, component, n, ...) as groups (key, x, y) whose pairs are all that matter: side 0 holds a block of the bucket, side 1 a block
+    of its members outside the bucket's largest component.
+
+    A bucket of m members of which r lie outside has about m x r / ``block`` rows, never the m x m of its pairs.
+    """
+    counts = named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"), F.sum(weight).alias("w"))
+    most_of = F.struct("c", "component")
+    sides = counts.groupBy("key").agg(F.max(most_of)["component"].alias("main"), F.sum("c").alias("m"), F.sum("w").alias("wm"), F.max("c").alias("c"), F.max(F.struct("c", "component", "w"))["w"].alias("w"))
+    blocks = lambda c, w: F.greatest(F.ceil(c / block), F.ceil(w / most)).cast("int")
+    sides = materialize(sides.select("key", "main", blocks(F.col("m"), F.col("wm")).alias("bx"), blocks(F.col("m") - F.col("c"), F.col("wm") - F.col("w")).alias("by")).filter("by > 0"), "near-sides")
+    rows = named.join(sides, "key")
+    own = lambda b: F.pmod(F.xxhash64("node", "key"), F.col(b)).cast("int")
+    every = lambda b: F.explode(F.sequence(F.lit(0), F.col(b) - 1))
+    every_member = rows.withColumns({"x": own("bx"), "side": F.lit(0)}).withColumn("y", every("by"))
+    outside = rows.filter("component != main").withColumns({"y": own("by"), "side": F.lit(1)}).withColumn("x", every("bx"))
+    return every_member.unionByName(outside).drop("main", "bx", "by")
+
+
 def _crossing(members: DataFrame, parts: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, t: int) -> DataFrame | None:
     """Links (a, b) between different components, verified on the full sets; None if no bucket holds members of several components.
 
-    Buckets that do are joined to clusters.  A cluster's nodes are dealt into blocks of some BLOCK nodes, and each pair of blocks is a group of its
-    own that carries the nodes' sets, so a task holds two blocks at most and gives no more rows than links that join components.  Inside, only pairs of
-    different components are looked at, and of these only those that the sketches do not rule out: the estimate's standard deviation is at most
-    sqrt(s (1 - s) / t) at similarity s, and pairs five of them below the threshold are out.
+    Members of such buckets are dealt into pairs of blocks (:func:`_dealt`).  First with their sketches only: nodes stay that have a partner of another
+    component which the sketches do not rule out (the estimate's standard deviation is at most sqrt(s (1 - s) / t) at similarity s, and pairs five of
+    them below the threshold are out).  What stays is dealt again with its sets, and a task gives no more rows than links that join components.
     """
     share = percent / 100
     least = math.floor(t * max(0.0, share - 5 * math.sqrt(share * (1 - share) / t)))
-    named = members.join(parts, members["node"] == parts["node"], "left").select("key", members["node"], F.coalesce("component", members["node"]).alias("component"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("node").alias("lead")).filter("lo != hi")
-    named = materialize(named.join(mixed.select("key", "lead"), "key").select("node", "component", "lead").distinct(), "near-mixed")
+    named = members.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    mixed = materialize(named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key"), "near-mixed-keys")
+    if mixed.isEmpty():
+        return None
+    named = materialize(named.join(mixed, "key").join(nodes.select("node", "n", "low"), "node"), "near-mixed")
+    near = _grouped(_dealt(named, BLOCK, F.lit(0), 1), ["component", "low"], lambda held: _candidates(held, least, t), "key long, node long").distinct()
+    named = materialize(named.join(near, ["key", "node"]), "near-candidates")
     if named.isEmpty():
         return None
-    clusters = components(named.filter("node != lead").select(F.col("node").alias("a"), F.col("lead").alias("b")), "near-clusters").withColumnsRenamed({"component": "cluster"})
-    own = named.select("node", "component").distinct().join(clusters, "node").join(nodes.select("node", "low"), "node").join(sets.hint("merge"), "node")
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    own = own.join(sizes, "cluster").withColumn("own", F.pmod(F.xxhash64("node", "cluster"), F.col("blocks")).cast("int"))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("cluster", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "component", "low", "shingles")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def close(held: list, one: bool) -> list[tuple[int, int]]:
-        node, comp, block = ([h[k] for h in held] for k in (1, 2, 0))
-        low = np.frombuffer(b"".join(h[3] for h in held), np.uint8).reshape(len(held), t)
-        blocks = np.array(block)
-        shingles: dict[int, frozenset] = {}
-        up: dict[int, int] = {c: c for c in comp}
-
-        def find(c: int) -> int:
-            while up[c] != c:
-                up[c] = up[up[c]]
-                c = up[c]
-            return c
-
-        def full(i: int) -> frozenset:
-            if i not in shingles:
-                shingles[i] = frozenset(held[i][4])
-            return shingles[i]
-
-        out = []
-        if len(up) == 1:
-            return out
-        for i in range(len(held) - 1):
-            near = (low[i + 1 :] == low[i]).sum(1) >= least
-            if not one:  # pairs inside a block are looked at where the block meets itself
-                near &= blocks[i + 1 :] != blocks[i]
-            for j in (np.flatnonzero(near) + i + 1).tolist():
-                a, b = find(comp[i]), find(comp[j])
-                if a == b:
-                    continue
-                n = len(full(i) & full(j))
-                if 100 * n >= percent * (len(full(i)) + len(full(j)) - n):
-                    up[max(a, b)] = min(a, b)
-                    out.append((min(node[i], node[j]), max(node[i], node[j])))
-        return out
-
-    def compare(batches):
-        key, held = None, []
+    full = _dealt(named, SET_BLOCK, F.col("n"), SET_ITEMS).join(sets.hint("merge"), "node")
+    return _grouped(full, ["component", "low", "shingles"], lambda held: _joining(held, least, percent, t), "a long, b long").distinct()
+
+
+def _grouped(dealt: DataFrame, carried: list[str], compare, result: str) -> DataFrame:
+    """``compare`` over the rows (side, key, node, *carried) of each group (key, x, y); a group is one task's at a time, and its size is bounded."""
+    schema = pa.schema([(f.split()[0], pa.int64()) for f in result.split(", ")])
+
+    def run(batches):
+        group, held = None, []
+
+        def close():
+            found = compare(held) if held and held[0][0] == 0 and held[-1][0] == 1 else []
+            return [batch(schema, *zip(*found, strict=True))] if found else []
+
         for b in slices(batches):
-            keys = list(zip(*(b.column(k).to_pylist() for k in range(3)), strict=True))
-            rest = [b.column(k).to_pylist() for k in range(3, 7)]
-            lists = b.column(7)
-            for i, k in enumerate(keys):
-                if k != key:
-                    if len(held) > 1 and (found := close(held, key[1] == key[2])):
-                        yield batch(schema, *zip(*found, strict=True))
-                    key, held = k, []
-                held.append((*(c[i] for c in rest), lists[i].values.to_numpy()))
-        if len(held) > 1 and (found := close(held, key[1] == key[2])):
-            yield batch(schema, *zip(*found, strict=True))
-
-    groups = dealt.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y")
-    return groups.mapInArrow(compare, "a long, b long").distinct()
+            where = list(zip(*(b.column(k).to_pylist() for k in range(3)), strict=True))
+            rest = [b.column(k).to_pylist() if b.schema.names[k] != "shingles" else b.column(k) for k in range(3, b.num_columns)]
+            for i, g in enumerate(where):
+                if g != group:
+                    yield from close()
+                    group, held = g, []
+                side, node, *more = (c[i] for c in rest)
+                held.append((side, g[0], node, *(np.sort(m.values.to_numpy()) if isinstance(m, pa.Scalar) else m for m in more)))
+        yield from close()
+
+    groups = dealt.select("key", "x", "y", "side", "node", *carried).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "side")
+    return groups.mapInArrow(run, result)
+
+
+def _agreeing(held: list, least: int, t: int):
+    """(index on side 0, index on side 1) of pairs of different components whose sketches agree often enough, for each member of side 1."""
+    split = next(i for i, h in enumerate(held) if h[0])
+    low = np.frombuffer(b"".join(h[4] for h in held), np.uint8).reshape(len(held), t)
+    component = np.array([h[3] for h in held])
+    for j in range(split, len(held)):
+        yield j, np.flatnonzero(((low[:split] == low[j]).sum(1) >= least) & (component[:split] != component[j]))
+
+
+def _candidates(held: list, least: int, t: int) -> list[tuple[int, int]]:
+    found = set()
+    for j, near in _agreeing(held, least, t):
+        if len(near):
+            found |= {held[j][1:3], *(held[i][1:3] for i in near.tolist())}
+    return sorted(found)
+
+
+def _joining(held: list, least: int, percent: int, t: int) -> list[tuple[int, int]]:
+    """Verified links, of which each joins two components that the links before it have not joined."""
+    up = {h[3]: h[3] for h in held}
+
+    def find(c: int) -> int:
+        while up[c] != c:
+            up[c] = up[up[c]]
+            c = up[c]
+        return c
+
+    out = []
+    for j, near in _agreeing(held, least, t):
+        mine = held[j][5]
+        for i in near.tolist():
+            a, b, other = find(held[i][3]), find(held[j][3]), held[i][5]
+            if a == b:
+                continue
+            few, many = (mine, other) if len(mine) < len(other) else (other, mine)
+            at = np.searchsorted(many, few)
+            both = int((many[np.minimum(at, len(many) - 1)] == few).sum())
+            if 100 * both >= percent * (len(mine) + len(other) - both):
+                up[max(a, b)] = min(a, b)
+                out.append((min(held[i][2], held[j][2]), max(held[i][2], held[j][2])))
+    return out
 
 
 def _one_of_equal_rows(keyed: DataFrame, text_col: str) -> DataFrame:

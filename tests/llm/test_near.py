@@ -4,6 +4,7 @@ import random
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 
 from priceloom.llm import minhash
@@ -70,6 +71,39 @@ def test_blocks_find_what_leaders_leave(spark, monkeypatch):
     assert got == brute(rows, 3, 85)
 
 
+def test_blocks_of_sets_find_what_leaders_leave(spark, monkeypatch):
+    for name, value in (("LEADERS", 1), ("BLOCK", 5), ("SET_BLOCK", 3), ("SET_ITEMS", 400), ("SCRAMBLE", (0x7F,))):
+        monkeypatch.setattr(minhash, name, value)
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: tuple(r)[1:] for r in minhash.near_duplicates(docs, 3, 85).collect()}
+    assert got == brute(rows, 3, 85)
+
+
+def test_words_do_not_depend_on_sections(monkeypatch):
+    """Very long texts are hashed in sections; a word longer than a section stays whole."""
+    rng = random.Random(6)
+    texts = ["", None, " " * 500, "x" * 700 + " y", "Long " + "z" * 900]
+    texts += [" ".join("".join(rng.choice("abAB\u00e9") for _ in range(rng.randrange(1, 90))) + rng.choice(["", "\t", "  \n"]) for _ in range(rng.randrange(80))) for _ in range(40)]
+    column = pa.array(texts)
+    whole = minhash.shingle_sets(column, 3)
+    for section in (7, 64, 500):
+        monkeypatch.setattr(minhash, "SECTION", section)
+        got = minhash.shingle_sets(column, 3)
+        assert (got[0] == whole[0]).all() and (got[1] == whole[1]).all()
+    h, doc = minhash.word_hashes(column)
+    words = [(i, w) for i, t in enumerate(texts) for w in WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))]
+    assert doc.tolist() == [i for i, _ in words]
+    assert len(set(zip(h.tolist(), [w for _, w in words], strict=True))) == len({w for _, w in words}) == len(set(h.tolist()))
+
+
+def test_structured_words_differ():
+    bits = [bin(i).count("1") & 1 for i in range(4096)]
+    one, other = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    h, _ = minhash.word_hashes(pa.array([one, other]))
+    assert h[0] != h[1]
+
+
 def test_sketch_estimates():
     import numpy as np
 
