@@ -125,7 +125,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
 
     A component x counts as floor(scale * x).  Every block of the index meets every query, in blocks; each pair gives k rows at most, and
     a window by query merges them.  Ties go to the smaller id; rows with the query's own id are no candidates.  Rows with a null
-    id, null vector, null or non-finite component or another length than most take no part; zero vectors do.
+    id, null vector, null or non-finite component or another length than most take no part; zero vectors do.  Components so large that a score could
+    leave 64 bits raise an ArithmeticError before anything is computed.
     """
     spark = vectors.sparkSession
     ship_code(spark)
@@ -134,6 +135,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     if not size:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     rows = rows.filter(F.size("vec") == size)
+    largest = rows.agg(F.max(F.array_max(F.transform("vec", F.abs)))).first()[0] * scale + 1
+    if size * largest * largest >= 2.0**62:
+        raise ArithmeticError(f"scores of components up to {largest:.3g} could leave 64 bits")
 
     def index(batches):
         """Blocks of up to ``block_rows`` rows of a partition."""
@@ -182,11 +186,20 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def _meet(packed: DataFrame, stored: DataFrame) -> DataFrame:
-    """A copy of every block of queries for each block of the index: the stated query set against all rows, in blocks.
+#: Groups of index blocks; a block of queries goes to each, and there to each of its blocks.
+GROUPS = 256
+
 
-    Only block numbers, one for some 16 thousand rows, pass through the driver."""
-    numbers = sorted(r["block"] for r in stored.select("block").collect())
-    if not numbers:
-        return packed.select("block", F.lit(1).alias("kind"), "ids", "values").limit(0)
-    return packed.select(F.explode(F.array(*[F.lit(n) for n in numbers])).alias("block"), F.lit(1).alias("kind"), "ids", "values")
+def _meet(packed: DataFrame, stored: DataFrame) -> DataFrame:
+    """A copy of every block of queries for each block of the index: the stated query set against all rows, in blocks."""
+    group = F.pmod(F.xxhash64("block"), F.lit(GROUPS)).cast("int").alias("group")
+    blocks = stored.select("block", group)
+    spread = packed.select(F.explode(F.sequence(F.lit(0), F.lit(GROUPS - 1))).alias("group"), "ids", "values")
+    return spread.join(blocks, "group").select("block", F.lit(1).alias("kind"), "ids", "values")
+
+
+#: The same scores by products of lists; used as an oracle on small tables.
+TOP_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x::DOUBLE))) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s QUALIFY rank <= 10"""

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from priceloom.llm.common import batch, slices, texts_of
@@ -18,6 +18,8 @@ from priceloom.session import ship_code
 #: Runs of letters (and letter-like numbers, which carry no weight of their own).
 _WORDS = re.compile(r"[^\W\d_]+").findall
 LONGEST = 4
+#: Count of what a language has not shown.
+FLOOR = 0.5
 #: Words a worker remembers the scores of.
 MEMORY = 100_000
 
@@ -28,25 +30,48 @@ def _grams(word: str, n: int) -> list[str]:
     return [w[i : i + n] for i in range(max(1, len(w) - n + 1))]
 
 
+class Table:
+    """Log frequencies of grams by language, as a sparse table: only (gram, language) pairs that were seen are kept, all others have their language's floor."""
+
+    def __init__(self, floor: np.ndarray, cells: list[tuple[str, int, float]]):
+        self.floor = floor
+        self.at: dict[str, int] = {}
+        rows = np.array([self.at.setdefault(gram, len(self.at)) for gram, _, _ in cells], np.int64)
+        order = np.argsort(rows, kind="stable")
+        self.start = np.searchsorted(rows[order], np.arange(len(self.at) + 1))
+        self.lang = np.array([c[1] for c in cells], np.int32)[order]
+        self.log = np.array([c[2] for c in cells], np.float64)[order]
+
+    def of(self, row: int) -> np.ndarray:
+        out = self.floor.copy()
+        seen = slice(self.start[row], self.start[row + 1])
+        out[self.lang[seen]] = self.log[seen]
+        return out
+
+    def mean(self, rows: list[int]) -> np.ndarray:
+        return sum(map(self.of, rows)) / len(rows)
+
+
 @dataclass
 class Model:
-    """Log frequencies by language; tables are bounded by the parameters of :func:`fit`."""
+    """Log frequencies by language: of words, and of character n-grams for n from 1 to LONGEST; its size is bounded by the sample of :func:`fit`."""
 
     langs: list[str]
     prior: np.ndarray
-    words: dict[str, int]
-    word_logs: np.ndarray
-    grams: list[dict[str, int]]
-    gram_logs: list[np.ndarray]
+    tables: list[Table]
+
+    @property
+    def words(self) -> dict[str, int]:
+        return self.tables[0].at
 
     def word(self, w: str) -> np.ndarray:
         """Log frequency of a word in each language: its own if known, else the mean over its known n-grams of the longest length that has any."""
         if (i := self.words.get(w)) is not None:
-            return self.word_logs[i]
+            return self.tables[0].of(i)
         for n in range(LONGEST, 0, -1):
-            known = [k for g in _grams(w, n) if (k := self.grams[n - 1].get(g)) is not None]
+            known = [k for g in _grams(w, n) if (k := self.tables[n].at.get(g)) is not None]
             if known:
-                return self.gram_logs[n - 1][known].mean(0)
+                return self.tables[n].mean(known)
         return np.zeros(len(self.langs))
 
 
@@ -71,9 +96,10 @@ class Predictor(dict):
             return "und", 0.0
         if len(self) > MEMORY:
             self.clear()
-        at = list(map(self.__getitem__, words))  # first, as new words may move the table
-        total = self.rows[at].sum(0) + self.model.prior
-        best = int(np.argmax(total))
+        counts = Tally(words)
+        at = list(map(self.__getitem__, counts))  # first, as new words may move the table
+        total = np.array(list(counts.values()), float) @ self.rows[at] + self.model.prior
+        best = int(np.argmax(total))  # the first of equals in the order of the languages' names
         share = np.exp((total - total[best]) / math.sqrt(len(words)))
         return self.model.langs[best], float(1 / share.sum())
 
@@ -87,46 +113,34 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(labelled: DataFrame, docs_per_lang: int = 4000, most_words: int = 120_000, most_grams: int = 60_000, text_col: str = "text", lang_col: str = "lang") -> Model:
+def fit(labelled: DataFrame, docs_per_lang: int = 4000, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Learn from rows with a text and a language.
 
-    Bounds, which also bound the model that is broadcast: about ``docs_per_lang`` distinct texts of each language (by a hash of the text, so reruns
-    agree and order does not matter; copies of a text count once), ``most_words`` words and ``most_grams`` n-grams of each length over all languages, shared
-    equally.  Counting is distributed; only the bounded tables reach the driver.
+    The one bound: about ``docs_per_lang`` distinct texts of each language are read, all of them where there are no more (drawn by a hash of the text, so reruns
+    agree and order does not matter; copies of a text count once, in the languages' prior too).  Nothing that the sample shows is dropped, so the model that is broadcast is as large as the
+    distinct words and n-grams of the sample.  Counting is distributed; counts of the sample's grams reach the driver.
     """
     ship_code(labelled.sparkSession)
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     rows = rows.withColumn("hash", F.xxhash64("text"))
-    texts = rows.groupBy("lang", "hash").agg(F.count(F.lit(1)).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).collect()
-    sizes = {r["lang"]: r["n"] for r in texts}
-    distinct = {r["lang"]: r["texts"] for r in texts}
-    langs = sorted(sizes)
+    texts = rows.select("lang", "hash").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
+    found = sorted(texts.collect(), key=lambda r: r["lang"])
+    langs = [r["lang"] for r in found]
     if not langs:
-        return Model([], np.zeros(0), {}, np.zeros((0, 0)), [{}] * LONGEST, [np.zeros((0, 0))] * LONGEST)
-    share = F.lit(0.0)
-    for lang in langs:
-        share = F.when(F.col("lang") == lang, min(1.0, docs_per_lang / distinct[lang])).otherwise(share)
+        return Model([], np.zeros(0), [Table(np.zeros(0), [])] * (LONGEST + 1))
+    share = F.element_at(F.create_map(*[F.lit(x) for r in found for x in (r["lang"], min(1.0, docs_per_lang / r["texts"]))]), F.col("lang"))
     sample = rows.filter(F.pmod("hash", F.lit(1 << 30)) < share * (1 << 30)).groupBy("lang", "hash").agg(F.min("text").alias("text")).select("text", "lang")
     counts = sample.mapInArrow(_count, "lang string, kind int, gram string, n long").groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n"))
-    totals = Window.partitionBy("lang", "kind")
-    keep = F.when(F.col("kind") == 0, max(1, most_words // len(langs))).otherwise(max(1, most_grams // len(langs)))
-    best = counts.withColumns({"total": F.sum("n").over(totals), "rank": F.row_number().over(totals.orderBy(F.desc("n"), "gram"))}).filter((F.col("rank") <= keep) & ((F.col("n") > 1) | (F.col("kind") > 0)))
-    at = {lang: i for i, lang in enumerate(langs)}
-    tables: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
-    cells: list[list[tuple[int, int, float]]] = [[] for _ in range(LONGEST + 1)]
-    total = np.ones((LONGEST + 1, len(langs)))
-    for kind, lang, gram, n, whole in best.select("kind", "lang", "gram", "n", "total").toPandas().itertuples(index=False, name=None):
-        cells[kind].append((tables[kind].setdefault(gram, len(tables[kind])), at[lang], n))
-        total[kind, at[lang]] = whole
-    logs = []
-    for kind, table in enumerate(tables):
-        floor = 0.5  # count of what a language has not shown
-        m = np.tile(np.log(floor / (total[kind] + floor * len(table) + 1)), (len(table), 1))
-        for i, j, n in cells[kind]:
-            m[i, j] = math.log((n + floor) / (total[kind, j] + floor * len(table) + 1))
-        logs.append(m)
-    n = np.array([sizes[lang] for lang in langs], float)
-    return Model(langs, np.log(n / n.sum()), tables[0], logs[0], tables[1:], logs[1:])
+    counted = counts.toPandas()
+    counted["at"] = counted["lang"].map({lang: i for i, lang in enumerate(langs)})
+    tables = []
+    for kind in range(LONGEST + 1):
+        of = counted[counted["kind"] == kind].sort_values(["gram", "at"])
+        below = np.bincount(of["at"], weights=of["n"], minlength=len(langs)) + FLOOR * of["gram"].nunique() + 1
+        logs = np.log((of["n"].to_numpy(float) + FLOOR) / below[of["at"].to_numpy(int)])
+        tables.append(Table(np.log(FLOOR / below), list(zip(of["gram"], of["at"], logs, strict=True))))
+    n = np.array([r["texts"] for r in found], float)
+    return Model(langs, np.log(n / n.sum()), tables)
 
 
 _COUNTED = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("gram", pa.string()), ("n", pa.int64())])
@@ -151,7 +165,7 @@ def _count(batches):
 def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_to: str = "lang_pred", score_to: str = "score") -> DataFrame:
     """``docs`` with the predicted language (``und`` where a text is null, empty or without letters) and a score from 0 to 1.
 
-    Whole texts count.  A map over rows: no shuffle; the model, bounded by the parameters of :func:`fit`, is broadcast.  The columns
+    Whole texts count; a word is a run of letters, so a combining mark or a digit ends one.  Ties go to the language whose name sorts first.  A map over rows: no shuffle; the model, bounded by the parameters of :func:`fit`, is broadcast.  The columns
     ``lang_to`` and ``score_to`` replace such columns of ``docs``.
     """
     ship_code(docs.sparkSession)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, IsNotNull, WriterCommitMessage
 
-from priceloom.llm.common import batch, new_path
+from priceloom.llm.common import batch, materialize, new_path
 from priceloom.session import ship_code
 
 SCHEMA = "record_id string, record_type string, target_uri string, date string, payload_digest string, refers_to string, payload_length long, payload binary"
@@ -288,23 +288,61 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
+#: Groups of equal payloads that are broadcast, those of most bytes in all: a bounded table.
+HOT_GROUPS = 10_000
+
+
 def page_records(pages: DataFrame, least: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """A record per page.  Of pages with equal payloads of at least ``least`` bytes, the one with the largest id is the response and the others
     revisit it; smaller payloads are all responses.  Null html is an empty payload; rows that repeat the largest id are all
-    responses; a row with a null id revisits any row that has one.  The payload of a revisit is dropped before the write."""
+    responses; a row with a null id revisits any row that has one.
+
+    Payloads are equal if SHA-1, length and a second hash are.  Groups of equal payloads are found and written down without the payloads; the
+    ``HOT_GROUPS`` heaviest are then broadcast, which drops the bodies of their revisits before anything is shuffled, and the others are joined as
+    Spark sees fit: none of them is a hot key any more.
+    """
+    key = ["sha", "n", "x"]
     body = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), body.alias("payload")).withColumns({"sha": F.sha1("payload"), "n": F.octet_length("payload").cast("long")})
-    last = rows.groupBy("sha", "n").agg(F.max("id").alias("last"))
-    rows = rows.join(last, ["sha", "n"])
-    revisit = (F.col("n") >= least) & ~F.col("id").eqNullSafe(F.col("last"))
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), body.alias("payload")).withColumns({"sha": F.sha1("payload"), "n": F.octet_length("payload").cast("long"), "x": F.xxhash64("payload")})
+    groups = rows.groupBy(*key).agg(F.max("id").alias("last"), F.count(F.lit(1)).alias("c")).filter((F.col("c") > 1) & (F.col("n") >= least))
+    groups = materialize(groups, "warc-groups")
+    hot = materialize(groups.orderBy(F.desc(F.col("c") * (F.col("n") + 1)), *key).limit(HOT_GROUPS), "warc-hot")
+    rest = groups.join(hot.select(*key), key, "left_anti")
+    revisits = lambda last: F.col("grouped") & ~F.col("id").eqNullSafe(F.col(last))
+    for number, some in enumerate((F.broadcast(hot), rest)):
+        rows = rows.join(some.select(*key, F.col("last").alias(f"last{number}"), F.lit(True).alias("grouped")), key, "left").withColumn("grouped", F.coalesce("grouped", F.lit(False)))
+        rows = rows.withColumn(f"revisit{number}", revisits(f"last{number}")).drop("grouped")
+        rows = rows.withColumn("payload", F.when(~F.col(f"revisit{number}"), F.col("payload")))
+    revisit = F.col("revisit0") | F.col("revisit1")
     urn = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(c.cast("string"), F.lit("null")))
     return rows.select(
         urn(F.col("id")).alias("record_id"), F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.col("url").alias("target_uri"),
-        F.lit(None).cast("string").alias("date"), F.unhex("sha").alias("sha"), F.when(revisit, urn(F.col("last"))).alias("refers_to"),
-        F.col("n").alias("payload_length"), F.when(~revisit, F.col("payload")).alias("payload"),
+        F.lit(None).cast("string").alias("date"), F.unhex("sha").alias("sha"), F.when(revisit, urn(F.coalesce("last0", "last1"))).alias("refers_to"),
+        F.col("n").alias("payload_length"), "payload",
     )
 
 
+def page_id(urn):
+    """The integer id in ``urn:page:...``; null where there is none."""
+    return F.expr(f"try_cast(substring({urn}, length('urn:page:') + 1) AS bigint)")
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of the response and revisit records of an archive, from the payloads read back.
+
+    Length and digest of a response are those of the body that was read.  A revisit has no body: it is looked up among the bodies of the page it refers to, by
+    its digest, and gets that body's figures; they are null if the archive has no such body.
+    """
+    figures = [F.octet_length("payload").cast("long").alias("payload_bytes"), _base32(F.unhex(F.sha1("payload"))).alias("payload_digest")]
+    responses = read_records(spark, path).filter(F.col("record_type") == "response").select(page_id("record_id").alias("page_id"), *figures)
+    revisits = read_records(spark, path, payload=False).filter(F.col("record_type") == "revisit")
+    revisits = revisits.select(page_id("record_id").alias("page_id"), page_id("refers_to").alias("refers_to"), F.col("payload_digest").alias("said"))
+    bodies = responses.select(F.col("page_id").alias("body_of"), "payload_bytes", "payload_digest").distinct()
+    found = revisits.join(bodies, F.col("refers_to").eqNullSafe(F.col("body_of")) & (F.col("said") == F.col("payload_digest")), "left")
+    columns = lambda kind, to: ["page_id", "payload_bytes", "payload_digest", F.lit(kind).alias("record_type"), to]
+    return responses.select(*columns("response", F.lit(None).cast("long").alias("refers_to"))).unionByName(found.select(*columns("revisit", F.col("refers_to"))))
+
+
 def write_pages(pages: DataFrame, path: str, least: int = 0, **cols) -> None:
     register(pages.sparkSession)
     rows = page_records(pages, least, **cols).withColumn("payload_digest", _base32(F.col("sha"))).drop("sha")
@@ -328,3 +366,9 @@ def read_records(spark: SparkSession, path: str, payload: bool = True) -> DataFr
 
 def archive_path(spark: SparkSession) -> str:
     return new_path(spark, "warc")
+
+
+#: The records of all pages by window functions and base32 by arithmetic; used as an oracle.
+PAGES_SQL = """WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS d, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes, list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(d, (10 * (i // 8) + 1)::INTEGER, 10))::BIGINT >> (35 - 5 * (i % 8))::INTEGER) & 31)::INTEGER + 1, 1)), 'string_agg', '') AS payload_digest,
+CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to FROM p"""

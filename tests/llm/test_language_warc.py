@@ -3,6 +3,8 @@
 import base64
 import gzip
 import hashlib
+import random
+import re
 import zlib
 
 import pytest
@@ -54,6 +56,69 @@ def test_copies_count_once_in_training(spark, monkeypatch):
     assert set(model.words) >= {"aa", "bb"}
 
 
+def brute_language(train, texts):
+    """The scoring from its definition: word counts, backoff to n-grams of 4 to 1 letters, floor 0.5, tempered posterior."""
+    import math
+    from collections import Counter, defaultdict
+
+    words = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    grams = lambda w, n: [(w if n == 1 else f"<{w}>")[i : i + n] for i in range(max(1, len(w if n == 1 else f"<{w}>") - n + 1))]
+    counts, langs = defaultdict(Counter), sorted({g for _, g in train})
+    for text, lang in set(train):
+        for w in words(text):
+            counts[0, lang][w] += 1
+            for n in range(1, 5):
+                counts[n, lang].update(grams(w, n))
+    seen = {n: set().union(*(counts[n, g] for g in langs)) for n in range(5)}
+    log = lambda n, g, x: math.log((counts[n, g][x] + 0.5) / (sum(counts[n, g].values()) + 0.5 * len(seen[n]) + 1))
+
+    def word(w):
+        if w in seen[0]:
+            return [log(0, g, w) for g in langs]
+        for n in range(4, 0, -1):
+            if known := [x for x in grams(w, n) if x in seen[n]]:
+                return [sum(log(n, g, x) for x in known) / len(known) for g in langs]
+        return [0.0] * len(langs)
+
+    out = []
+    for text in texts:
+        w = words(text or "")
+        if not any(c.isalpha() for x in w for c in x):
+            out.append(("und", 0.0))
+            continue
+        total = [math.log(sum(g == lang for _, g in set(train)) / len(set(train))) + sum(word(x)[i] for x in w) for i, lang in enumerate(langs)]
+        best = max(range(len(langs)), key=lambda i: (total[i], -i))
+        out.append((langs[best], 1 / sum(math.exp((t - total[best]) / math.sqrt(len(w))) for t in total)))
+    return out
+
+
+def test_scores_of_brute_force(spark):
+    rng = random.Random(3)
+    make = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 7))) for _ in range(rng.randrange(1, 12)))
+    letters = {"aa": "abcde", "bb": "bcdef", "cc": "\u00e9\u00e8abx", "dd": "\u0436\u0448\u0438"}
+    train = [(make(x), lang) for lang, x in letters.items() for _ in range(25)]
+    train += [("only text of a language", "ee")] * 300 + [train[0]] * 40
+    texts = [make("abcdef\u00e9x") for _ in range(60)] + [make(x) for x in letters.values() for _ in range(10)] + ["only text of a language", "text of", None, "", "12 _", "\u65e5\u672c", "a1b_c", "e\u0301 x\u0308y"]
+    model = language.fit(spark.createDataFrame(train, "text string, lang string").repartition(3))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = [(r.lang_pred, r.score) for r in language.predict(docs, model).orderBy("doc_id").collect()]
+    for (lang, score), (pred, value) in zip(brute_language(train, texts), got, strict=True):
+        assert lang == pred and value == pytest.approx(score, abs=1e-9)
+    assert {"ee", "dd"} <= {lang for lang, _ in got}
+
+
+def test_equal_languages_and_hot_texts(spark):
+    """Ties go to the name that sorts first; a language of one text, repeated, is learned whatever the sample's size."""
+    same = [("alpha beta", "zz"), ("alpha beta", "yy")]
+    model = language.fit(spark.createDataFrame(same, "text string, lang string"))
+    assert [r.lang_pred for r in language.predict(spark.createDataFrame([("beta",), ("new",)], "text string"), model).collect()] == ["yy", "yy"]
+    rows = [("guten tag welt", "de")] * 2000 + [(f"word{k} the cat", "en") for k in range(50)]
+    for n in (10, 100, 500):
+        model = language.fit(spark.createDataFrame(rows, "text string, lang string").repartition(3), docs_per_lang=n)
+        got = language.predict(spark.createDataFrame([("guten tag",), ("the cat",)], "text string"), model).collect()
+        assert [r.lang_pred for r in got] == ["de", "en"]
+
+
 @pytest.fixture
 def pages(spark):
     rows = [(1, "http://a", "x"), (2, None, "x"), (3, "http://c", None), (4, "http://d\r\nWARC-Type: evil", ""), (5, "http://é", "é" * 9000), (6, "u", "é" * 9000), (6, "u", "z\r\n\r\nWARC/1.0"), (None, "n", "x"), (7, "u", "\r\n\r\n" * 3)]
@@ -104,3 +169,40 @@ def test_small_payloads_and_empty(spark, tmp_path):
     assert kinds == {"urn:page:1": "response", "urn:page:2": "response", "urn:page:3": "revisit", "urn:page:4": "response"}
     warc.write_pages(df.limit(0), str(tmp_path / "none"))
     assert warc.read_records(spark, str(tmp_path / "none")).collect() == []
+
+
+def page_figures(rows):
+    last = {}
+    for i, _, t in rows:
+        last[t or ""] = max(last.get(t or "", -1), -1 if i is None else i)
+    out = []
+    for i, _, t in rows:
+        raw, top = (t or "").encode(), last[t or ""]
+        kind = "response" if (-1 if i is None else i) == top else "revisit"
+        out.append((i, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), kind, None if kind == "response" else top))
+    return out
+
+
+@pytest.mark.parametrize("hot", [0, 1, 100])
+def test_pages_are_read_back(spark, pages, tmp_path, monkeypatch, hot):
+    """The query's columns come from the bodies; groups of equal payloads give the same whether they are broadcast or joined."""
+    monkeypatch.setattr(warc, "HOT_GROUPS", hot)
+    rows, df = pages
+    path = str(tmp_path / "w")
+    warc.write_pages(df, path)
+    assert sorted(map(str, map(tuple, warc.read_pages(spark, path).collect()))) == sorted(map(str, page_figures(rows)))
+
+
+def test_a_broken_body_shows(spark, pages, tmp_path):
+    rows, df = pages
+    path = tmp_path / "w"
+    warc.write_pages(df, str(path))
+    for file in list(path.iterdir()):
+        if file.name.endswith(".warc.gz"):
+            plain = gzip.decompress(file.read_bytes()).replace("é".encode() * 9000, b"e" * 18000)
+            (path / file.name.removesuffix(".gz")).write_bytes(plain)
+            file.unlink()
+    (path / warc.MANIFEST).unlink()
+    got = {(r.page_id, r.payload_bytes, r.payload_digest) for r in warc.read_pages(spark, str(path)).collect()}
+    of = base64.b32encode(hashlib.sha1(b"e" * 18000).digest()).decode()
+    assert (6, 18000, of) in got and (5, None, None) in got

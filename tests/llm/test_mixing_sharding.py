@@ -127,3 +127,35 @@ def test_weights_confine_moves(spark):
 def test_shards_empty(spark):
     tree = sharding.even_tree(16)
     assert sharding.shard_documents(spark.createDataFrame([], "doc_id long, text string"), tree, sharding.grow(tree, 16)).collect() == []
+
+
+def test_shards_of_brute_force(spark, monkeypatch):
+    """Each row's shard, grown shard and slot recomputed from the draws; repeated rows, null ids and many cells change nothing."""
+    import hashlib
+    import math
+
+    monkeypatch.setattr(sharding, "COPIES", 3)
+    monkeypatch.setattr(sharding, "CELL_ROWS", 20)
+    rng = random.Random(8)
+    rows = [(i, "t" * rng.randrange(9)) for i in range(300)] + [(7, "seven")] * 50 + [(7, "other")] * 2 + [(None, "n")] * 5 + [(None, None)] * 4
+    tree = sharding.even_tree(16)
+    grown = sharding.grow(tree, 16)
+    number = lambda *parts: int(hashlib.md5(":".join("" if p is None else str(p) for p in parts).encode()).hexdigest()[:13], 16)
+
+    def pick(i, level, weights):
+        return min((-math.log((number(i, level, n) + 0.5) / 2**52) / w, n) for n, w in weights.items())[1]
+
+    def shard(i, t):
+        region = pick(i, "region", {r: sum(sum(s.values()) for s in k.values()) for r, k in t.items()})
+        rack = pick(i, "rack", {k: sum(s.values()) for k, s in t[region].items()})
+        return pick(i, "shard", t[region][rack])
+
+    want, at = [], Counter()
+    keyed = [(i, zlib.crc32((t or "").encode()), len((t or "").encode()) + 1) for i, t in rows]
+    for i, crc, n in sorted(keyed, key=lambda r: (number(*r), r[0] is not None, r[0] or 0, r[1:])):
+        s = shard(i, tree)
+        want.append((i, n, crc, "key", s, at[s], shard(i, grown)))
+        at[s] += 1
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, shard string, slot int").repartition(3)
+    got = sharding.shard_documents(docs, tree, grown)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))

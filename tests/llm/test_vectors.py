@@ -101,3 +101,13 @@ def test_bit_slices_never_lose_a_row():
             s = v @ q
             kept = block.candidates(q, 10)
             assert set(np.flatnonzero(s >= np.sort(s)[-10])) <= set(kept)
+
+
+def test_scores_that_leave_64_bits_are_refused(spark):
+    schema = "vec_id long, embedding array<double>"
+    large = spark.createDataFrame([(0, [1e16, 1.0]), (1, [1e16, 2.0])], schema)
+    with pytest.raises(ArithmeticError, match="64 bits"):
+        bitslice.top_k(large, F.col("id") % 100 == 0)
+    fits = spark.createDataFrame([(0, [1e5, 1.0]), (1, [1e5, 2.0]), (2, [-1e5, 0.5]), (3, None), (4, [float("nan"), 1.0])], schema)
+    got = [tuple(r) for r in bitslice.top_k(fits, F.col("id") % 100 == 0).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, (1024 * 10**5) ** 2 + 2 * 1024**2), (0, 2, 2, -((1024 * 10**5) ** 2) + 512 * 1024)]
