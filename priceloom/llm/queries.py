@@ -32,7 +32,7 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, least_blocks=32)
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,3 +111,46 @@ def test_scores_that_leave_64_bits_are_refused(spark):
     fits = spark.createDataFrame([(0, [1e5, 1.0]), (1, [1e5, 2.0]), (2, [-1e5, 0.5]), (3, None), (4, [float("nan"), 1.0])], schema)
     got = [tuple(r) for r in bitslice.top_k(fits, F.col("id") % 100 == 0).orderBy("rank").collect()]
     assert got == [(0, 1, 1, (1024 * 10**5) ** 2 + 2 * 1024**2), (0, 2, 2, -((1024 * 10**5) ** 2) + 512 * 1024)]
+
+
+def test_codes_bound_their_error():
+    x = np.random.default_rng(2).normal(size=(200, 24))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    codes, scale, error = neighbours.encode(x)
+    near = codes * scale[:, None]
+    off = error[:, None] + error[None, :] * (1 + error[:, None])
+    assert (np.abs(near @ near.T - x @ x.T) <= off + 1e-12).all() and error.max() < 0.02
+
+
+@pytest.mark.parametrize("kept", [256, 3])
+def test_windows_are_ranked_exactly(spark, monkeypatch, kept):
+    """With one window over all rows the search is exact, whether rows are kept by codes or blocks are ranked by vectors."""
+    monkeypatch.setattr(neighbours, "KEPT", kept)
+    df, ids, x = table(spark, 300, 8)
+    on = np.abs(x).max(1) > 0
+    ids, x = ids[on], x[on]
+    got = sorted(map(tuple, neighbours.nearest(df, F.col("id") % 50 == 0, curves=2, window_share=3.0, least_blocks=3).collect()))
+    n, want = np.sqrt((x * x).sum(1)), []
+    for q in np.flatnonzero(ids % 50 == 0):
+        s = (x * x[q]).sum(1) / (n * n[q])
+        want += [(ids[q], r + 1, ids[j], s[j]) for r, j in enumerate([j for j in np.lexsort((ids, -s)) if j != q][:5])]
+    assert got == sorted(want)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_recall_of_the_query(spark, sf):
+    """The registered query, with its production parameters, against brute force: windows hold under a tenth of the rows."""
+    from priceloom.llm import queries
+    from tests.conftest import TESTDATA
+
+    got = {}
+    for r in queries.op5_nearest_neighbours(spark, f"{TESTDATA}/{sf}").collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    rows = spark.read.parquet(f"{TESTDATA}/{sf}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    hit = asked = 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        s = (x * x[q]).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((x[q] * x[q]).sum()))
+        want = [ids[j] for j in np.lexsort((ids, -s)) if j != q][:5]
+        hit, asked = hit + len(set(want) & got[ids[q]]), asked + 5
+    assert hit / asked >= 0.9
