@@ -106,7 +106,7 @@ def byte_letters() -> dict[str, int]:
 class Counter(dict):
     """Pre-token -> number of tokens.  It starts with the proven whole tokens; others are merged when first met."""
 
-    def __init__(self, whole: set[str], merge):
+    def __init__(self, whole, merge):
         super().__init__(dict.fromkeys(whole, 1))
         self.whole, self.merge = whole, merge
 
@@ -164,14 +164,14 @@ def merger(path: str):
     return _loaded["merge", path]
 
 
-def _counter(vocabulary: str, pattern: str) -> tuple[Counter, re.Pattern | None]:
+def _counter(vocabulary: str, whole: frozenset) -> tuple[Counter, re.Pattern | None]:
     """A worker's counter and the pattern of the special strings; kept from task to task."""
     key = ("count", vocabulary)
     if key not in _loaded:
         merge = merger(vocabulary)
         special = special_strings(vocabulary)
         cut = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-        _loaded[key] = (Counter(whole_tokens(vocabulary, pattern), lambda piece: len(merge(piece.encode()))), cut)
+        _loaded[key] = (Counter(whole, lambda piece: len(merge(piece.encode()))), cut)
     return _loaded[key]
 
 
@@ -179,14 +179,19 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, limit: int = 10
     """Per document: id, n_bytes, n_tokens, over_limit (n_tokens > ``limit``).
 
     ``vocabulary`` is a byte-level tokenizer .json.  The vocabulary strings that provably encode alone as one token are counted directly when
-    they occur as a pre-token; only other pre-tokens are merged.  Special strings in a text are one token each and split it, which is the
-    library's default.  Null text counts as empty: 0 bytes, 0 tokens.  A map over rows: no shuffle; repeated rows are counted each.
+    they occur as a pre-token; only other pre-tokens are merged.  The proof is made once, on the driver, before any text is read; workers get its outcome, which
+    is as large as the vocabulary.  Special strings in a text are one token each and split it, which is the
+    library's default.  Null text counts as empty: 0 bytes, 0 tokens; an empty table gives no rows.  A map over rows: no shuffle; repeated rows are counted each;
+    other columns are not read.  A text is held as a whole, with its pre-tokens: some ten times its size in a worker.
     """
     ship_code(docs.sparkSession)
+    if ("whole", vocabulary, pattern) not in _loaded:
+        _loaded["whole", vocabulary, pattern] = frozenset(whole_tokens(vocabulary, pattern))
+    whole = docs.sparkSession.sparkContext.broadcast(_loaded["whole", vocabulary, pattern])
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        counts, cut = _counter(vocabulary, pattern)
+        counts, cut = _counter(vocabulary, whole.value)
         get = counts.__getitem__
         schema = None
         for b in slices(batches):
@@ -264,7 +269,7 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, chunk: int = 32_
     A text of more than ``chunk`` characters is cut into overlapping chunks that become rows of their own, pre-tokenised and merged in
     parallel; :func:`stitch` joins them where the pre-token starts of neighbours meet.  Where they don't meet inside the overlap (one
     pre-token as long as it), the two chunks' text is pre-tokenised again as one, so the result is exact for any text.
-    Null text counts as empty: no ids.
+    Null text counts as empty: no ids; an empty table gives no rows; rows that repeat an id and a text are a row each.  Other columns are not read.
     """
     return _stitched(_encoded(docs, ranks, pattern, chunk, overlap, id_col, text_col), ranks, pattern, id_col, False)
 
@@ -279,12 +284,23 @@ def _encoded(docs: DataFrame, ranks: str, pattern: str, chunk: int, overlap: int
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     long = F.coalesce(F.length("text") > chunk, F.lit(False))
-    # A row number tells repeated ids apart; it is only made for long texts, and the chunks carry it.
-    cuts = rows.filter(long).withColumn("row", F.xxhash64("id", "text")).groupBy("id", "row", "text").agg(F.count(F.lit(1)).alias("times"))
-    spans = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / chunk).cast("int"))
-    parts = cuts.select("id", "row", "times", "text", F.explode(spans).alias("part"))
-    parts = parts.select("id", "row", "times", "part", F.substring(F.col("text"), F.col("part") * chunk + 1, F.lit(chunk + overlap)).alias("text"))
-    return rows.filter(~long), parts.repartition(F.col("id"), F.col("row"), F.col("part")), id_type, chunk
+
+    def cut(batches):
+        """The chunks of each text, in one pass; a slice's size is bounded, so chunks stream out."""
+        schema = None
+        for b in slices(batches, 1 << 20):
+            schema = schema or pa.schema([b.schema.field(0), ("row", pa.string()), ("part", pa.int32()), ("text", pa.string())])
+            for i in range(b.num_rows):
+                one, text, made = b.column(0).slice(i, 1), b.column(2)[i].as_py(), b.column(1)[i].as_py()
+                spans = chunk_spans(len(text), chunk, overlap)
+                for k in range(0, len(spans), 32):
+                    some = spans[k : k + 32]
+                    yield batch(schema, pa.concat_arrays([one] * len(some)), [made] * len(some), range(k, k + len(some)), [text[a:z] for a, z in some])
+
+    # Rows that repeat an id and a text are told by the text's digest; their chunks are counted, partly before the shuffle, and encoded once.
+    made = rows.filter(long).select("id", F.md5(F.col("text").cast("binary")).alias("row"), "text").mapInArrow(cut, f"id {id_type}, row string, part int, text string")
+    parts = made.groupBy("id", "row", "part").agg(F.count(F.lit(1)).alias("times"), F.any_value("text").alias("text"))
+    return rows.filter(~long), parts.select("id", "row", "times", "part", "text"), id_type, chunk
 
 
 def _stitched(encoded, ranks: str, pattern: str, id_col: str, digest: bool) -> DataFrame:
@@ -334,7 +350,7 @@ def _stitched(encoded, ranks: str, pattern: str, id_col: str, digest: bool) -> D
             done = [(open_key[0], *doc.close())] * open_key[2]
             yield batch(schema, *zip(*done, strict=True))
 
-    coded = parts.select("id", "row", "times", "part", "text").mapInArrow(part, f"id {id_type}, row long, times long, part int, text string, ids binary, starts binary, ends binary")
+    coded = parts.select("id", "row", "times", "part", "text").mapInArrow(part, f"id {id_type}, row string, times long, part int, text string, ids binary, starts binary, ends binary")
     coded = coded.repartition(F.col("id"), F.col("row")).sortWithinPartitions("id", "row", "times", "part")
     out = short.mapInArrow(whole, f"id {id_type}, {fields}").unionByName(coded.mapInArrow(stitch, f"id {id_type}, {fields}"))
     return out.withColumnRenamed("id", id_col)

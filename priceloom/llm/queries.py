@@ -20,7 +20,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = mixing.materialize(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "mix-sizes")
-    return mixing.mix_sources(sized).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.query_columns(mixing.mix_sources(sized))
 
 
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -159,3 +159,22 @@ def test_shards_of_brute_force(spark, monkeypatch):
     docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, shard string, slot int").repartition(3)
     got = sharding.shard_documents(docs, tree, grown)
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_clashing_columns(spark):
+    """Columns that have the operator's names: replaced in the table of takings, kept in the mix itself."""
+    rng = random.Random(5)
+    rows = [(i, "w " * rng.randrange(0, 40), rng.choice("abc"), f"t{i}", i, 1.5, "s", "Order", 9) for i in range(200)] + [(None, None, None, "x", 0, 0.0, "y", "z", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, target string, size long, taken double, shards string, Order_Key string, source_size int")
+    mixed = mixing.mix_sources(docs.withColumn("size", mixing.word_count(F.col("text"))))
+    assert mixed.columns == ["doc_id", "text", "source", "size", "source_size", "target", "taken", "shards", "order_key"]
+    plain = mixing.mix_sources(docs.select("doc_id", "text", "source").withColumn("size", mixing.word_count(F.col("text"))))
+    assert sorted(map(str, mixed.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+    out = mixing.mix_documents(docs)
+    assert out.columns == docs.columns and out.dtypes == docs.dtypes
+    by = {r[0]: r for r in rows}
+    for r in out.collect():
+        own = by[r.doc_id]
+        assert (r.source, r.target, r["size"], r.taken, r.shards, r.Order_Key, r.source_size) == own[2:]
+        assert own[1].startswith(r.text) and r.text
+    assert sum(len(WORD.findall(r.text)) for r in out.collect()) == sum(r.taken for r in plain.collect())

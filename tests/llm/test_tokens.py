@@ -76,3 +76,18 @@ def test_empty(spark):
 def test_repeated_long_rows_count_each(spark):
     docs = spark.createDataFrame([(1, "ab " * 400)] * 3, "doc_id long, text string")
     assert bpe.digest_documents(docs, RANKS, PATTERN, 200, 32).count() == 3
+
+
+def test_very_long_texts_at_the_real_chunk(spark):
+    """Texts of many chunks, not ASCII, with pre-tokens across chunk borders and one longer than a chunk; repeated and null ids."""
+    rng = random.Random(7)
+    words = ["h\u00e9llo", "\u65e5\u672c\u8a9e", "don't", "\U0001f600\U0001f601", "123456", "   ", "\n\n", "na\u00efve", "\u0436\u0448\u0438", "x"]
+    long = " ".join(rng.choice(words) for _ in range(60_000))
+    texts = [(1, long), (1, long), (1, long[1:]), (None, long[2:]), (None, long[2:]), (2, "a" * 40_000 + long[:40_000]), (3, "\u65e5" * 70_000), (4, None)]
+    lib = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
+    want = []
+    for i, t in texts:
+        ids = lib.encode_ordinary(t or "")
+        want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    assert sorted(map(str, map(tuple, bpe.digest_documents(docs, RANKS, PATTERN).collect()))) == sorted(map(str, want))
