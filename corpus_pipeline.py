@@ -7,7 +7,8 @@ the columns of ``documents``.
 language    documents that language ID rejects go: no letters, or no language that fits (score under LEAST_SCORE)
 near        one row of each group of near copies stays, that of the smallest id (five-word shingles, similarity 0.8)
 repeats     later copies of strings of 200 bytes that occur earlier in the corpus are cut out; a document of which nothing is left goes
-mix         sources are mixed to weights 1, 2, 3 by code point, at most three copies of a document; the copy in which a quota ends is cut
+mix         sources are mixed to weights 1, 2, 3 by code point, at most three copies of a document; the copy in which a quota ends is cut; copies
+            lie in the shards that the splitting tree deals
 tokens      byte-level BPE ids of each text of the mix, and the digest of what they decode to
 """
 
@@ -41,7 +42,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.emit_copies(mixing.mix_sources(docs.withColumn("size", mixing.word_count(F.col("text")))), docs.columns)
+    return mixing.mix_documents(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
