@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +21,6 @@ _WORDS = re.compile(r"[^\W\d_]+").findall
 LONGEST = 4
 #: Count of what a language has not shown.
 FLOOR = 0.5
-#: Words a worker remembers the scores of.
-MEMORY = 100_000
 
 
 def _grams(word: str, n: int) -> list[str]:
@@ -30,26 +29,54 @@ def _grams(word: str, n: int) -> list[str]:
     return [w[i : i + n] for i in range(max(1, len(w) - n + 1))]
 
 
+class _Rows(dict):
+    """gram -> row, -1 for one that is not known."""
+
+    def __missing__(self, gram: str) -> int:
+        return -1
+
+
 class Table:
-    """Log frequencies of grams by language, as a sparse table: only (gram, language) pairs that were seen are kept, all others have their language's floor."""
+    """Log frequencies of grams by language, as a sparse table: only (gram, language) pairs that were seen are kept, all others have their language's floor.
 
-    def __init__(self, floor: np.ndarray, cells: list[tuple[str, int, float]]):
-        self.floor = floor
-        self.at: dict[str, int] = {}
-        rows = np.array([self.at.setdefault(gram, len(self.at)) for gram, _, _ in cells], np.int64)
-        order = np.argsort(rows, kind="stable")
-        self.start = np.searchsorted(rows[order], np.arange(len(self.at) + 1))
-        self.lang = np.array([c[1] for c in cells], np.int32)[order]
-        self.log = np.array([c[2] for c in cells], np.float64)[order]
+    ``grams`` are distinct; those of row i have cells ``start[i]`` to ``start[i + 1]`` of ``lang`` and ``log``.  The dictionary is made where it is first
+    used, so neither the driver nor the broadcast holds it.
+    """
 
-    def of(self, row: int) -> np.ndarray:
-        out = self.floor.copy()
-        seen = slice(self.start[row], self.start[row + 1])
-        out[self.lang[seen]] = self.log[seen]
-        return out
+    def __init__(self, floor: np.ndarray, grams: pa.Array, start: np.ndarray, lang: np.ndarray, log: np.ndarray):
+        self.floor, self.grams, self.start, self.lang, self.log = floor, grams, start, lang, log
+        self._at: _Rows | None = None
 
-    def mean(self, rows: list[int]) -> np.ndarray:
-        return sum(map(self.of, rows)) / len(rows)
+    @property
+    def at(self) -> _Rows:
+        if self._at is None:
+            self._at = _Rows(zip(self.grams.to_pylist(), range(len(self.grams))))
+        return self._at
+
+    def __getstate__(self):
+        return self.__dict__ | {"_at": None}
+
+    def add(self, total: np.ndarray, doc: np.ndarray, row: np.ndarray, weight: np.ndarray) -> None:
+        """Add ``weight`` times the log frequencies of ``row`` to the languages' sums of ``doc``: floors for all, and for seen cells what they are above."""
+        docs, langs = total.shape
+        total += np.bincount(doc, weights=weight, minlength=docs)[:, None] * self.floor
+        n = self.start[row + 1] - self.start[row]
+        of = np.repeat(np.arange(len(row)), n)
+        cell = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + self.start[row][of]
+        above = weight[of] * (self.log[cell] - self.floor[self.lang[cell]])
+        total += np.bincount(doc[of] * langs + self.lang[cell], weights=above, minlength=docs * langs).reshape(docs, langs)
+
+
+def _table(cells: pa.Table, langs: int) -> Table:
+    """The table of cells (gram, at, n), one for each gram and language."""
+    cells = cells.sort_by([("gram", "ascending"), ("at", "ascending")])
+    grams, at, n = cells["gram"].combine_chunks(), cells["at"].to_numpy(), cells["n"].to_numpy().astype(float)
+    first = np.ones(len(at), bool)
+    if len(at):
+        first[1:] = pc.not_equal(grams[1:], grams[:-1]).to_numpy(zero_copy_only=False)
+    start = np.append(np.flatnonzero(first), len(at))
+    below = np.bincount(at, weights=n, minlength=langs) + FLOOR * (len(start) - 1) + 1
+    return Table(np.log(FLOOR / below), grams.take(pa.array(start[:-1])), start, at.astype(np.int32), np.log((n + FLOOR) / below[at]))
 
 
 @dataclass
@@ -64,44 +91,57 @@ class Model:
     def words(self) -> dict[str, int]:
         return self.tables[0].at
 
-    def word(self, w: str) -> np.ndarray:
-        """Log frequency of a word in each language: its own if known, else the mean over its known n-grams of the longest length that has any."""
-        if (i := self.words.get(w)) is not None:
-            return self.tables[0].of(i)
-        for n in range(LONGEST, 0, -1):
-            known = [k for g in _grams(w, n) if (k := self.tables[n].at.get(g)) is not None]
-            if known:
-                return self.tables[n].mean(known)
-        return np.zeros(len(self.langs))
-
-
-class Predictor(dict):
-    """word -> row of a score table that grows with the words met, up to MEMORY."""
-
-    def __init__(self, model: Model):
-        super().__init__()
-        self.model, self.rows = model, np.zeros((1024, len(model.langs)))
-
-    def __missing__(self, w: str) -> int:
-        n = len(self)
-        if n == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[n] = self.model.word(w)
-        self[w] = n
-        return n
-
-    def predict(self, text: str) -> tuple[str, float]:
-        words = _WORDS(text.lower())
-        if not words or not self.model.langs or not any(map(_has_letter, words)):
-            return "und", 0.0
-        if len(self) > MEMORY:
-            self.clear()
-        counts = Tally(words)
-        at = list(map(self.__getitem__, counts))  # first, as new words may move the table
-        total = np.array(list(counts.values()), float) @ self.rows[at] + self.model.prior
-        best = int(np.argmax(total))  # the first of equals in the order of the languages' names
-        share = np.exp((total - total[best]) / math.sqrt(len(words)))
-        return self.model.langs[best], float(1 / share.sum())
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """(language, score) of each text.  A word scores its log frequency in each language: its own if known, else the mean over its known n-grams of the
+        longest length that has any.  Words are counted per text; known ones are scored at once, for all texts, from the sparse tables."""
+        names, scores = ["und"] * len(texts), np.zeros(len(texts))
+        keys, counts, docs, sizes = [], [], [], []
+        for i, text in enumerate(texts if self.langs else ()):
+            words = _WORDS(text.lower())
+            if words and any(map(_has_letter, words)):
+                tally = Tally(words)
+                keys += tally
+                counts += tally.values()
+                docs.append(i)
+                sizes.append((len(tally), len(words)))
+        if not docs:
+            return names, scores
+        size = np.array(sizes)
+        doc, count = np.repeat(np.arange(len(docs)), size[:, 0]), np.array(counts, float)
+        total = np.tile(self.prior, (len(docs), 1))
+        row = np.fromiter(map(self.words.__getitem__, keys), np.int64, len(keys))
+        known = row >= 0
+        self.tables[0].add(total, doc[known], row[known], count[known])
+        rest = np.flatnonzero(~known)
+        for n, (at, rows, share) in enumerate(self._backed_off([keys[i] for i in rest.tolist()]), 1):
+            if len(at):
+                self.tables[n].add(total, doc[rest[at]], rows, count[rest[at]] * share)
+        best = total.argmax(1)  # the first of equals in the order of the languages' names
+        top = total[np.arange(len(docs)), best]
+        value = 1 / np.exp((total - top[:, None]) / np.sqrt(size[:, 1])[:, None]).sum(1)
+        for i, lang in zip(docs, best.tolist(), strict=True):
+            names[i] = self.langs[lang]
+        scores[docs] = value
+        return names, scores
+
+    def _backed_off(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For n from 1 to LONGEST: (place in ``words``, row, share) of the known n-grams of the words of which n is the longest length with any."""
+        found: list[tuple[list, list, list]] = [([], [], []) for _ in range(LONGEST)]
+        met: dict[str, tuple[int, list[int]]] = {}
+        for i, w in enumerate(words):
+            if w not in met:
+                met[w] = (0, [])
+                for n in range(LONGEST, 0, -1):
+                    if known := [k for k in map(self.tables[n].at.__getitem__, _grams(w, n)) if k >= 0]:
+                        met[w] = (n, known)
+                        break
+            n, known = met[w]
+            if n:
+                at, rows, share = found[n - 1]
+                at += [i] * len(known)
+                rows += known
+                share += [1 / len(known)] * len(known)
+        return [(np.array(a, np.int64), np.array(r, np.int64), np.array(s, float)) for a, r, s in found]
 
 
 def _has_letter(word: str) -> bool:
@@ -127,18 +167,14 @@ def fit(labelled: DataFrame, docs_per_lang: int = 4000, text_col: str = "text",
     found = sorted(texts.collect(), key=lambda r: r["lang"])
     langs = [r["lang"] for r in found]
     if not langs:
-        return Model([], np.zeros(0), [Table(np.zeros(0), [])] * (LONGEST + 1))
+        return Model([], np.zeros(0), [])
     share = F.element_at(F.create_map(*[F.lit(x) for r in found for x in (r["lang"], min(1.0, docs_per_lang / r["texts"]))]), F.col("lang"))
     sample = rows.filter(F.pmod("hash", F.lit(1 << 30)) < share * (1 << 30)).groupBy("lang", "hash").agg(F.min("text").alias("text")).select("text", "lang")
     counts = sample.mapInArrow(_count, "lang string, kind int, gram string, n long").groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n"))
-    counted = counts.toPandas()
-    counted["at"] = counted["lang"].map({lang: i for i, lang in enumerate(langs)})
-    tables = []
-    for kind in range(LONGEST + 1):
-        of = counted[counted["kind"] == kind].sort_values(["gram", "at"])
-        below = np.bincount(of["at"], weights=of["n"], minlength=len(langs)) + FLOOR * of["gram"].nunique() + 1
-        logs = np.log((of["n"].to_numpy(float) + FLOOR) / below[of["at"].to_numpy(int)])
-        tables.append(Table(np.log(FLOOR / below), list(zip(of["gram"], of["at"], logs, strict=True))))
+    # Columns of Arrow buffers: some 40 bytes a cell, where Python objects would be several hundred.
+    counted = counts.select("lang", "kind", "gram", "n").toArrow()
+    counted = counted.append_column("at", pc.index_in(counted["lang"], value_set=pa.array(langs))).drop_columns("lang")
+    tables = [_table(counted.filter(pc.equal(counted["kind"], kind)), len(langs)) for kind in range(LONGEST + 1)]
     n = np.array([r["texts"] for r in found], float)
     return Model(langs, np.log(n / n.sum()), tables)
 
@@ -170,17 +206,13 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_to: str
     """
     ship_code(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    own: dict = {}
 
     def run(batches):
-        if "p" not in own:
-            own["p"] = Predictor(shared.value)
-        one, schema = own["p"].predict, None
-        for b in slices(batches):
+        model, schema = shared.value, None
+        for b in slices(batches, 1 << 20):
             at = b.schema.get_field_index(text_col)
             schema = schema or pa.schema([*b.schema, (lang_to, pa.string()), (score_to, pa.float64())])
-            found = list(map(one, texts_of(b.column(at))))
-            yield batch(schema, *b.columns, [f[0] for f in found], [f[1] for f in found])
+            yield batch(schema, *b.columns, *model.predict(texts_of(b.column(at))))
 
     docs = docs.drop(lang_to, score_to)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
