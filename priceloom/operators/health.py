@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from priceloom.operators.quality import severity_rank
+from priceloom.operators.telemetry import rate_of_runs
+
 #: Fixed values.
 DEGRADED = ("unreachable", "rate_limited", "structurally_changed", "partially_parseable", "empty_result")
 
@@ -87,10 +91,71 @@ def run_status(status: Column) -> Column:
 
 
 def overall(assessed: DataFrame) -> DataFrame:
-    """Counts by status and the one for all: degraded before stale before healthy; unknown without sources."""
+    """Counts by status and the one for all: degraded before stale; healthy only if all sources are, else unknown, as without sources."""
     s = source_status(F.col("state"), F.col("freshness_state"))
     n = assessed.select(s.alias("s")).agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("s") == k).alias(k) for k in ("healthy", "degraded", "stale")])
-    return n.withColumn("overall", F.when(F.col("total") == 0, "unknown").when(F.col("degraded") > 0, "degraded").when(F.col("stale") > 0, "stale").otherwise("healthy"))
+    one = F.when(F.col("degraded") > 0, "degraded").when(F.col("stale") > 0, "stale").when((F.col("total") > 0) & (F.col("healthy") == F.col("total")), "healthy")
+    return n.withColumn("overall", F.coalesce(one, F.lit("unknown")))
+
+
+def pipeline_status(runs: DataFrame, assessed: DataFrame, lag: DataFrame, recent: int = 5) -> DataFrame:
+    """One row on the pipeline: the ``recent`` newest runs (run_id, status, started_at, finished_at, records), all sources, and lag samples (topic, lag).
+
+    overall: degraded if one of these runs failed or a source is degraded or stale; unknown without runs; else healthy.  last_write: when the newest healthy one
+    of these runs ended.  Four one-row frames are put side by side, so nothing but the newest runs is sorted.
+    """
+    newest = runs.orderBy(F.desc("started_at"), F.desc("run_id")).limit(recent).withColumn("derived", run_status(F.col("status")))
+    ended = F.when((F.col("derived") == "healthy") & F.col("finished_at").isNotNull(), F.struct("started_at", "run_id", "finished_at"))
+    of_runs = newest.agg(F.count(F.lit(1)).alias("recent_runs"), F.count_if(F.col("derived") == "failed").alias("failed_runs"), F.max(ended)["finished_at"].alias("last_write"), rate_of_runs().alias("records_per_second"))
+    total = runs.agg(F.count(F.lit(1)).alias("total_runs"))
+    bad = source_status(F.col("state"), F.col("freshness_state")).isin("degraded", "stale")
+    of_sources = assessed.agg(F.count_if(bad).alias("bad_sources"))
+    of_lag = lag.agg(F.coalesce(F.sum(F.coalesce("lag", F.lit(0))), F.lit(0)).alias("total_lag"), F.countDistinct("topic").alias("topics"))
+    row = reduce(lambda a, b: a.join(b, "one"), [x.withColumn("one", F.lit(1)) for x in (of_runs, total, of_sources, of_lag)]).drop("one")
+    named = F.when((F.col("failed_runs") > 0) | (F.col("bad_sources") > 0), "degraded").when(F.col("recent_runs") == 0, "unknown").otherwise("healthy")
+    return row.withColumns({"alerts": F.col("failed_runs") + F.col("bad_sources"), "overall": named})
+
+
+def quality_status(results: DataFrame, recent: int = 10) -> DataFrame:
+    """One row on quality results (check_id, check_name, severity, passed, checked_at): degraded with any failure, unknown without results, else healthy;
+    the number of failures and of checks with one; the worst severity among failures of the ``recent`` newest results."""
+    by = results.groupBy("check_name").agg(F.count_if(~F.col("passed")).alias("failed"))
+    all_of = by.agg(F.count(F.lit(1)).alias("checks"), F.coalesce(F.sum("failed"), F.lit(0)).alias("total_failures"), F.count_if(F.col("failed") > 0).alias("checks_with_failures"))
+    newest = results.orderBy(F.desc("checked_at"), F.desc("check_id")).limit(recent)
+    worst = newest.agg(F.max_by("severity", F.when(~F.col("passed"), severity_rank(F.col("severity")))).alias("worst_severity"))
+    named = F.when(F.col("checks") == 0, "unknown").when(F.col("total_failures") > 0, "degraded").otherwise("healthy")
+    return all_of.withColumn("one", F.lit(1)).join(worst.withColumn("one", F.lit(1)), "one").drop("one").withColumn("overall", named)
+
+
+def last_seen(sources: DataFrame, listings: DataFrame, observations: DataFrame) -> DataFrame:
+    """source_id, source_name, last_observation_at, total_observations of every source, those without observations included.  Observations are counted by
+    listing first, so the joins see one row for each."""
+    newest = observations.groupBy("source_product_id").agg(F.max("collected_at").alias("at"), F.count(F.lit(1)).alias("n"))
+    by = listings.join(newest, "source_product_id").groupBy("source_id").agg(F.max("at").alias("last_observation_at"), F.sum("n").alias("n"))
+    return sources.join(by, "source_id", "left").select("source_id", "source_name", "last_observation_at", F.coalesce("n", F.lit(0)).alias("total_observations"))
+
+
+def ingestion_health(seen: DataFrame, at: Column, most_age: dict[str, float] | None = None, default_age: float | None = None) -> DataFrame:
+    """State and freshness of sources by what the warehouse has of them (:func:`last_seen`): without fetch outcomes a source is healthy, and a source that
+    was never collected says so; ages under 0 count as 0.  ``most_age``: seconds by source name, ``default_age`` for the others (None: never stale)."""
+    age = F.greatest(F.timestamp_diff("SECOND", F.col("last_observation_at"), at), F.lit(0)).cast("double")
+    most = F.lit(default_age).cast("double")
+    for name, seconds in (most_age or {}).items():
+        most = F.when(F.col("source_name") == name, F.lit(float(seconds))).otherwise(most)
+    fresh = F.when(F.col("last_observation_at").isNull(), "never_collected").when(age > most, "stale").otherwise("fresh")
+    why = F.when(F.col("last_observation_at").isNull(), "no observation data available")
+    return seen.withColumns({"freshness_age_seconds": F.when(F.col("last_observation_at").isNotNull(), age), "freshness_state": fresh, "state": F.lit("healthy"), "reason": why})
+
+
+def recent_evaluations(results: DataFrame, source: str | None = None, limit: int = 50) -> DataFrame:
+    rows = results if source is None else results.filter(F.col("source_name") == source)
+    return rows.orderBy(F.desc("assessed_at"), "source_name").limit(limit)
+
+
+def latest_per_source(results: DataFrame, degraded_only: bool = False) -> DataFrame:
+    """The newest evaluation of each source; with ``degraded_only``, of those that are not healthy by it."""
+    newest = results.groupBy("source_name").agg(F.max_by(F.struct(*[c for c in results.columns if c != "source_name"]), F.struct("assessed_at", "replay_key")).alias("r")).select("source_name", "r.*")
+    return newest.filter("state <> 'healthy'") if degraded_only else newest
 
 
 def alerts(runs: DataFrame, assessed: DataFrame) -> DataFrame:

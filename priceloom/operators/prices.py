@@ -186,20 +186,23 @@ def price_statistics(r: Relations, days_back: int) -> DataFrame:
 
 
 def products_page(r: Relations, number: int = 1, size: int = 20, category: str | None = None, source_id: int | None = None) -> DataFrame:
-    """Products with their latest observation (of equal times, the larger id); the page is cut before names are joined."""
+    """Products with their latest observation (of equal times, the larger id).  The page's products are found first, by their ids alone; only their
+    observations are then aggregated."""
     rows = r.observed if source_id is None else r.observed.filter(F.col("source_id") == source_id)
     kinds = r.products if category is None else r.products.filter(F.col("category") == category)
+    shown = page(kinds.join(rows.select("product_id"), "product_id", "left_semi"), [F.col("product_id")], number, size)
     at = F.struct("collected_at", "obs_id")
-    best = rows.groupBy("product_id").agg(F.max_by(F.struct("price", "currency", "availability", "collected_at"), at).alias("o"), F.countDistinct("source_id").alias("source_count"))
-    return page(best.join(kinds, "product_id"), [F.col("product_id")], number, size).select("product_id", "canonical_name", "category", "source_count", "o.*")
+    mine = rows.join(shown.select("product_id"), "product_id", "left_semi").groupBy("product_id")
+    best = mine.agg(F.max_by(F.struct("price", "currency", "availability", "collected_at"), at).alias("o"), F.countDistinct("source_id").alias("source_count"))
+    return best.join(shown, "product_id").orderBy("product_id").select("product_id", "canonical_name", "category", "source_count", "o.*")
 
 
 def product_detail(r: Relations, product_id: int) -> DataFrame:
     """Each listing of a product with its latest observation and the product's number of sources."""
     rows = r.observed.filter(F.col("product_id") == product_id)
     latest = latest_per_listing(rows)
-    many = rows.agg(F.countDistinct("source_id").alias("source_count"))
-    return latest.join(r.sources, "source_id").join(r.products, "product_id").join(F.broadcast(many))
+    many = rows.groupBy("product_id").agg(F.countDistinct("source_id").alias("source_count"))
+    return latest.join(r.sources, "source_id").join(r.products, "product_id").join(many, "product_id")
 
 
 def product_observations(r: Relations, product_id: int, number: int = 1, size: int = 20) -> DataFrame:

@@ -5,6 +5,8 @@ Every step is a function of frames, shared by batch and stream; only finding rep
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,12 +16,38 @@ from priceloom.schemas import AVAILABILITY, CURRENCY, EVENT, EVENT_TYPE, RECORD,
 ERRORS = "_validation_errors"
 
 
-def parse(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """JSON text to (events, dead letters).  A dead letter keeps its raw text and why it failed."""
+#: Fields of an event that must have a character, and those that may be missing but not empty.
+_FILLED = ("event_id", "source", "payload.external_id", "payload.name", "payload.url", "payload.category")
+_OPTIONAL = ("payload.listing_id", "payload.seller_id")
+
+
+def contract_errors(e: Column) -> Column:
+    """Where an event breaks the contract, as an array of field names in order: empty or missing texts, times that are none or have no offset, a price that is no
+    number or negative, a currency, availability or version outside the fixed values.  A missing event type and version have their defaults."""
+    at = lambda path: reduce(lambda c, part: c[part], path.split("."), e)
+    timed = lambda path: F.coalesce(at(path).rlike(r"(Z|[+-]\d{2}:?\d{2})$") & to_utc(at(path)).isNotNull(), F.lit(False))
+    price = at("payload.price")
+    bad = {
+        **{f: F.coalesce(strip(at(f)) == "", F.lit(True)) for f in _FILLED}, **{f: F.coalesce(strip(at(f)) == "", F.lit(False)) for f in _OPTIONAL},
+        "event_type": F.coalesce(at("event_type"), F.lit(EVENT_TYPE)) != EVENT_TYPE,
+        "schema_version": ~F.coalesce(F.coalesce(at("schema_version"), F.lit("1")).try_cast("long").isin(*SCHEMA_VERSIONS), F.lit(False)),
+        "produced_at": ~timed("produced_at"), "payload.collected_at": ~timed("payload.collected_at"),
+        "payload.price": F.coalesce(price.isNotNull() & ~(F.coalesce(price.try_cast("decimal(38,10)"), F.lit(-1)) >= 0), F.lit(False)),
+        "payload.currency": ~F.coalesce(F.length(strip(at("payload.currency"))) == 3, F.lit(False)), "payload.availability": ~F.coalesce(at("payload.availability").isin(*AVAILABILITY), F.lit(False)),
+    }
+    return F.array_compact(F.array(*[F.when(v, k) for k, v in bad.items()]))
+
+
+def parse(raw: DataFrame, value: str = "value", strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """JSON text to (events, dead letters).  A dead letter keeps its raw text and why it failed; with ``strict``, what breaks the contract is one too, and names
+    its fields, otherwise such events go on and validation lists their violations."""
     text = F.col(value).cast("string")
     rows = raw.withColumn("__event", F.from_json(text, EVENT, {"mode": "PERMISSIVE"}))
     e = F.col("__event")
     why = F.when(e.isNull() | F.try_parse_json(text).isNull(), "malformed_json").when(e["event_type"].isNull() | (e["event_type"] != EVENT_TYPE), "unknown_event_type").when(e["payload"].isNull(), "missing_payload")
+    if strict:
+        broken = contract_errors(e)
+        why = why.when(F.size(broken) > 0, F.concat(F.lit("contract: "), F.array_join(broken, ", ")))
     rows = rows.withColumn("error", why)
     return rows.filter("error IS NULL").drop("error").select("*", "__event.*").drop("__event"), rows.filter("error IS NOT NULL").drop("__event")
 

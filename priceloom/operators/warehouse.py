@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from priceloom.operators.quality import replay_key
 from priceloom.operators.records import payload_hash
+from priceloom.schemas import PRICE
 from priceloom.sources.lake import _files, exists
 
 TABLES = {
@@ -33,6 +34,22 @@ def surrogate(*parts: Column) -> Column:
     return F.xxhash64(F.to_json(F.struct(*[p.alias(f"p{i}") for i, p in enumerate(parts)]), {"ignoreNullFields": "false"}))
 
 
+#: Fields without which a row has no place in the warehouse, in the order in which they are asked for.
+NEEDED = ("source", "external_id", "availability", "collected_at", "event_id")
+
+
+def map_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that can be loaded, rejected rows with ``reason``) of stored rows: the first needed field that is null or empty, or a price text that is no number.  An
+    empty price is a missing one; times in text become timestamps."""
+    empty = lambda c: F.col(c).isNull() | (F.col(c).cast("string") == "")
+    price = F.when(F.col("price").cast("string") != "", F.col("price").cast("string"))
+    why = [F.when(empty(c), f"Missing required field '{c}'") for c in NEEDED]
+    why += [F.when(price.isNotNull() & price.try_cast(PRICE).isNull(), F.concat(F.lit("Invalid price value '"), price, F.lit("'"))), F.when(F.col("collected_at").cast("string").try_cast("timestamp").isNull(), "Invalid time")]
+    checked = rows.withColumn("reason", F.coalesce(*why))
+    good = checked.filter("reason IS NULL").drop("reason").withColumns({"price": price.try_cast(PRICE), "collected_at": F.col("collected_at").cast("string").try_cast("timestamp")})
+    return good, checked.filter("reason IS NOT NULL")
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -64,6 +81,11 @@ class Warehouse:
         known = self.table("observations").select("event_id", "hash")
         return own.join(known, "event_id", "left").filter((F.col("lo") != F.col("hi")) | (F.col("hash") != F.col("lo"))).select("event_id")
 
+    def load_checked(self, rows: DataFrame) -> dict[str, int]:
+        """As :meth:`load`, for rows that may be unfit: these are appended, with the reason, to the table ``rejects``, once for a row; the others are loaded."""
+        good, bad = map_rows(rows)
+        return self.load(good) | {"rejects": append_results(self.spark, f"{self.path}/rejects", bad, F.md5(F.to_json(F.struct(*rows.columns))), F.col("reason"))}
+
     def load(self, records: DataFrame) -> dict[str, int]:
         """New rows by table.  Loading twice adds nothing; a conflict raises and nothing is written."""
         stage = f"{self.path}/_stage_{uuid.uuid4().hex}"
@@ -100,3 +122,15 @@ def append_results(spark: SparkSession, path: str, rows: DataFrame, *key: Column
     store, p = _files(spark, stage)
     store.delete(p, True)
     return n
+
+
+def write_health(spark: SparkSession, path: str, evaluations: DataFrame, logical_date: str, evaluated_at: Column) -> int:
+    """Append evaluations (source_name, state, freshness_state, reason, freshness_age_seconds, assessed_at) of one logical date, once for each source."""
+    rows = evaluations.select("source_name", "state", "freshness_state", "reason", "freshness_age_seconds", "assessed_at", evaluated_at.alias("evaluated_at"), F.lit(logical_date).alias("logical_date"))
+    return append_results(spark, path, rows, F.col("source_name"), F.col("logical_date"))
+
+
+def write_metrics(spark: SparkSession, path: str, metrics: DataFrame, metric_date: str, logical_date: str, computed_at: Column) -> int:
+    """Append daily metrics (metric_name, dimension, value), once for each name, day and dimension."""
+    rows = metrics.select(F.lit(metric_date).cast("date").alias("metric_date"), "metric_name", "dimension", "value", computed_at.alias("computed_at"), F.lit(logical_date).alias("logical_date"))
+    return append_results(spark, path, rows, F.col("metric_name"), F.col("metric_date"), F.col("dimension"))

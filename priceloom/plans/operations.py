@@ -38,11 +38,11 @@ def _runs(r: Relations) -> DataFrame:
     start = F.col("o_orderdate").cast("timestamp_ntz")
     return r.table("orders").select(
         F.col("o_orderkey").alias("run_id"), F.when(o == "F", "failed").when(o == "O", "running").otherwise("success").alias("status"), start.alias("started_at"),
-        F.when(o != "O", F.timestamp_add("SECOND", F.col("o_orderkey") % 100, start)).alias("finished_at"), F.floor("o_totalprice").cast("long").alias("records"), F.when(o == "F", F.col("o_orderpriority")).alias("error_message"))
+        F.when(o != "O", F.timestamp_add("SECOND", F.col("o_orderkey") % 100, start)).alias("finished_at"), F.when(F.col("o_orderkey") % 7 != 0, F.floor("o_totalprice").cast("long")).alias("records"), F.when(o == "F", F.col("o_orderpriority")).alias("error_message"))
 
 
 RUNS = """WITH runs AS (SELECT o_orderkey AS run_id, CASE o_orderstatus WHEN 'F' THEN 'failed' WHEN 'O' THEN 'running' ELSE 'success' END AS status, o_orderdate::TIMESTAMP AS started_at,
-CASE WHEN o_orderstatus <> 'O' THEN o_orderdate::TIMESTAMP + to_seconds(o_orderkey % 100) END AS finished_at, floor(o_totalprice)::BIGINT AS records, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS error_message FROM orders)
+CASE WHEN o_orderstatus <> 'O' THEN o_orderdate::TIMESTAMP + to_seconds(o_orderkey % 100) END AS finished_at, CASE WHEN o_orderkey % 7 <> 0 THEN floor(o_totalprice)::BIGINT END AS records, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS error_message FROM orders)
 """
 
 
@@ -51,7 +51,7 @@ def q17(r: Relations) -> DataFrame:
     return page(_runs(r).filter("status <> 'running'"), [F.desc("started_at"), F.col("run_id")]).select("run_id", "status", "started_at", "records", H.run_status(F.col("status")).alias("derived"))
 
 
-@query("a23_processing_rate", RUNS + f"SELECT {sql_rounded('(sum(records) / sum(date_diff(chr(115)||chr(101)||chr(99)||chr(111)||chr(110)||chr(100), started_at, finished_at)::DOUBLE))')} AS records_per_second FROM runs WHERE finished_at > started_at".replace("chr(115)||chr(101)||chr(99)||chr(111)||chr(110)||chr(100)", "'second'"), prefix=False)
+@query("a23_processing_rate", RUNS + f"SELECT {sql_rounded('(sum(records)::DOUBLE / sum(epoch(finished_at) - epoch(started_at))::DOUBLE)')} AS records_per_second FROM runs WHERE finished_at > started_at AND records IS NOT NULL", prefix=False)
 def a23(r: Relations) -> DataFrame:
     return T.processing_rate(_runs(r))
 
@@ -91,7 +91,7 @@ def q18(r: Relations) -> DataFrame:
 
 
 @query("q24_overall_source_health", HEALTH + f""", s AS (SELECT {STATUS} AS s FROM h), n AS (SELECT count(*) AS total, count(*) FILTER (WHERE s = 'healthy') AS healthy, count(*) FILTER (WHERE s = 'degraded') AS degraded, count(*) FILTER (WHERE s = 'stale') AS stale FROM s)
-SELECT *, CASE WHEN total = 0 THEN 'unknown' WHEN degraded > 0 THEN 'degraded' WHEN stale > 0 THEN 'stale' ELSE 'healthy' END AS overall FROM n""")
+SELECT *, CASE WHEN degraded > 0 THEN 'degraded' WHEN stale > 0 THEN 'stale' WHEN total > 0 AND healthy = total THEN 'healthy' ELSE 'unknown' END AS overall FROM n""")
 def q24(r: Relations) -> DataFrame:
     return H.overall(_assessed(r))
 
@@ -273,9 +273,13 @@ def j15(r: Relations) -> DataFrame:
     return T.arrivals(made, landed).select("event_id", "latency_ms")
 
 
-@query("a17_throughput", "SELECT user_id, max(value) AS peak, arg_max(value, ts) - arg_min(value, ts) AS delta FROM events GROUP BY 1", prefix=False)
+@query("a17_throughput", f"""SELECT user_id, sum(event_id % 3)::BIGINT AS events, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0::DOUBLE AS seconds, max(value) AS peak_rss, arg_max(value, ts) - arg_min(value, ts) AS cpu_delta,
+{sql_rounded("coalesce(sum(event_id % 3) / nullif((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0::DOUBLE, 0), 0)", 9)} AS events_per_second FROM events GROUP BY 1""", prefix=False)
 def a17(r: Relations) -> DataFrame:
-    return r.table("events").groupBy("user_id").agg(F.max("value").alias("peak"), (F.max_by("value", "ts") - F.min_by("value", "ts")).alias("delta"))
+    from priceloom.views import rounded
+
+    samples = r.table("events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), (F.col("event_id") % 3).alias("acknowledged"), F.col("value").alias("rss_bytes"), F.col("value").alias("cpu_seconds"))
+    return T.throughput(samples, ["user_id"]).withColumn("events_per_second", rounded(F.col("events_per_second"), 9))
 
 
 @query("snk09_replay_key", "SELECT concat_ws(':', check_name, check_id, '_', source, strftime(checked_at, '%Y-%m-%d')) AS replay_key, passed FROM checks")

@@ -173,9 +173,9 @@ def w13(r: Relations) -> DataFrame:
     return H.empty_streaks(H.last_outcomes(r.outcomes))
 
 
-@query("w14_last_outcomes", "SELECT source, count(*) AS kept, min(seq) AS first_seq FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY seq DESC) AS n FROM outcomes) WHERE n <= 20 GROUP BY 1")
+@query("w14_last_outcomes", "SELECT source, count(*) AS kept, min(seq) AS first_seq FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY seq DESC) AS n FROM outcomes) WHERE n <= 100 GROUP BY 1")
 def w14(r: Relations) -> DataFrame:
-    return H.last_outcomes(r.outcomes, 20).groupBy("source").agg(F.count(F.lit(1)).alias("kept"), F.min("seq").alias("first_seq"))
+    return H.last_outcomes(r.outcomes).groupBy("source").agg(F.count(F.lit(1)).alias("kept"), F.min("seq").alias("first_seq"))
 
 
 # Sets.
@@ -283,9 +283,13 @@ def p15(r: Relations) -> DataFrame:
     return r.table("part").select(F.col("p_partkey").alias("id"), mapping.condition(said).alias("condition"))
 
 
-@query("p03_strip", "SELECT n_nationkey AS id, n_name AS name FROM nation", prefix=False)
+@query("p03_strip", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '' ELSE concat(event_type, ' ', user_id) END AS name FROM events", prefix=False)
 def p03(r: Relations) -> DataFrame:
-    return r.table("nation").select(F.col("n_nationkey").alias("id"), text.strip(F.concat(F.lit("\t  "), F.col("n_name"), F.lit(" \n"))).alias("name"))
+    """All kinds of white space around, none inside taken; a text of white space only becomes empty."""
+    around = [F.lit(s) for s in ("\t \u00a0", "\u2003\u3000\n", "\x0b\x85\u2028 ", "")]
+    pick = lambda k: F.element_at(F.array(*around), (F.pmod(F.xxhash64(F.lit(k), "event_id"), F.lit(len(around))) + 1).cast("int"))
+    inner = F.when(F.col("event_id") % 3 != 0, F.concat(F.col("event_type"), F.lit(" "), F.col("user_id").cast("string"))).otherwise("")
+    return r.table("events").select("event_id", text.strip(F.concat(pick(1), inner, pick(2))).alias("name"))
 
 
 @query("t05_daily_last_value", "SELECT user_id, ts::DATE::VARCHAR AS day, arg_max(value, ts) AS value FROM events GROUP BY 1, 2", prefix=False)

@@ -19,7 +19,12 @@ from priceloom.views import Relations
 
 
 def _room(r: Relations, name: str) -> str:
-    base = r.spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}"
+    """A new folder under the shared one; a local one only where there is no cluster (tests)."""
+    base = r.spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not r.spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"file://{tempfile.gettempdir()}"
     return f"{base.rstrip('/')}/priceloom-{name}-{uuid.uuid4().hex}"
 
 

@@ -206,9 +206,9 @@ def v16(r: Relations) -> DataFrame:
     return r.products.join(r.observed.filter("availability = 'in_stock'").select("product_id"), "product_id", "left_semi").select("product_id", "canonical_name")
 
 
-@query("j14_products_never_seen", "SELECT product_id FROM products WHERE product_id NOT IN (SELECT product_id FROM observed WHERE currency = 'USD')")
+@query("j14_products_never_seen", "SELECT product_id FROM products WHERE product_id NOT IN (SELECT product_id FROM observed WHERE currency = 'USD' AND source_id = 2 AND collected_at < TIMESTAMP '1998-01-01')")
 def j14(r: Relations) -> DataFrame:
-    return r.products.join(r.observed.filter("currency = 'USD'").select("product_id"), "product_id", "left_anti").select("product_id")
+    return r.products.join(r.observed.filter("currency = 'USD' AND source_id = 2 AND collected_at < '1998-01-01'").select("product_id"), "product_id", "left_anti").select("product_id")
 
 
 @query("a02_filtered_aggregates", f"""SELECT source_product_id, min(price) FILTER (WHERE {RECENT}) AS min_recent, max(price) FILTER (WHERE {RECENT}) AS max_recent, count(*) FILTER (WHERE price IS NULL) AS missing, count(*) AS n FROM observations GROUP BY 1""")
@@ -243,6 +243,6 @@ def l04(r: Relations) -> DataFrame:
     return r.observations.select("obs_id", "source_product_id", "price").orderBy(F.col("price").desc_nulls_first(), "obs_id", "source_product_id").limit(50)
 
 
-@query("l05_newest_capped", f"SELECT {LIST} FROM observations ORDER BY collected_at DESC, obs_id DESC, source_product_id LIMIT 1000")
+@query("l05_newest_capped", f"SELECT {LIST} FROM observations ORDER BY collected_at DESC, obs_id DESC, source_product_id LIMIT 100000")
 def l05(r: Relations) -> DataFrame:
-    return r.observations.orderBy(F.desc("collected_at"), F.desc("obs_id"), "source_product_id").limit(1000).select(*OBS)
+    return r.observations.orderBy(F.desc("collected_at"), F.desc("obs_id"), "source_product_id").limit(100_000).select(*OBS)

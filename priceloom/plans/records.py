@@ -101,6 +101,19 @@ def d02(r: Relations) -> DataFrame:
     return records.status(batch, order=["part", "l_suppkey"], payload=["part"], seen=seen).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("d02_conflict_then_replay", """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'conflict' WHEN o_orderkey % 3 = 1 THEN 'duplicate' ELSE 'unique' END AS status, 1 + (o_orderkey % 2) AS n FROM orders""", prefix=False)
+def d02_again(r: Relations) -> DataFrame:
+    """Ids that had two payloads before stay conflicts, whichever of the two comes again; ids with one payload are duplicates; new ids are unique or replays of
+    themselves inside the batch (shown as unique, with their number)."""
+    o, k = r.table("orders"), F.col("o_orderkey")
+    part = lambda p: o.select(k.cast("string").alias("event_id"), k.alias("k"), F.lit(p).alias("part"))
+    h = records.payload_hash(["part"]).alias("hash")
+    seen = part(1).filter("k % 3 <> 2").select("event_id", h).unionByName(part(2).filter("k % 3 = 0").select("event_id", h))
+    batch = part(1).filter("k % 6 <> 0").unionByName(part(2).filter("k % 6 = 0")).unionByName(part(1).filter("k % 2 = 1 AND k % 6 <> 0"))
+    got = records.status(batch.withColumn("seq", F.lit(1)), order="seq", payload=["part"], seen=seen)
+    return got.groupBy("k").agg(F.max("status").alias("status"), F.count(F.lit(1)).alias("n"))
+
+
 @query("st03_route", RAW + f"""SELECT route, count(*) AS n FROM (SELECT CASE WHEN errors <> '' THEN 'invalid' WHEN kinds > 1 THEN 'conflict' WHEN k > 1 THEN 'duplicate' ELSE 'valid' END AS route FROM
 (SELECT errors, count(DISTINCT payload) OVER (PARTITION BY event_id, errors <> '') AS kinds, row_number() OVER (PARTITION BY event_id, errors <> '' ORDER BY collected_at, source) AS k FROM
 (SELECT event_id, source, collected_at, {ERRORS_SQL} AS errors, concat_ws('|', source, external_id, coalesce(price::VARCHAR, '_'), category, collected_at) AS payload FROM n))) GROUP BY 1""", prefix=False)
@@ -151,10 +164,15 @@ def p20(r: Relations) -> DataFrame:
     return rows.select("id", mapping.identifier(F.col("m"))["kind"].alias("kind"), mapping.product_key("m", F.col("m")).alias("product_key"))
 
 
-@query("p22_price_text", """SELECT p_partkey AS id, CASE WHEN p_size % 5 = 0 THEN NULL WHEN p_size % 5 = 4 THEN p_partkey * 1000 + 0.5 ELSE p_retailprice END::DECIMAL(12,2) AS price, CASE WHEN p_size % 5 = 1 THEN 'EUR' WHEN p_size % 5 = 2 THEN 'USD' ELSE 'GBP' END AS currency FROM part""", prefix=False)
+@query("p22_price_text", """SELECT p_partkey AS id, CASE p_size % 8 WHEN 0 THEN NULL WHEN 4 THEN p_partkey * 1000 + 0.5 WHEN 5 THEN p_partkey * 1000 + 7 WHEN 6 THEN NULL WHEN 7 THEN 1000000 + p_partkey % 1000 ELSE p_retailprice END::DECIMAL(12,2) AS price,
+CASE WHEN p_size % 8 IN (1, 5) THEN 'EUR' WHEN p_size % 8 IN (2, 7) THEN 'USD' ELSE 'GBP' END AS currency FROM part""", prefix=False)
 def p22(r: Relations) -> DataFrame:
-    n, p = F.col("p_size") % 5, F.col("p_retailprice").cast("decimal(12,2)").cast("string")
-    shown = F.when(n == 0, "free").when(n == 1, F.concat(F.lit(" €"), p)).when(n == 2, F.concat(F.lit("$"), p)).when(n == 4, F.concat(F.lit("£ "), F.format_number(F.col("p_partkey") * 1000 + 0.5, 2))).otherwise(p)
+    """Thousands by comma and by dot, both separators at once (no number), two symbols (the first of the table counts)."""
+    n, k, p = F.col("p_size") % 8, F.col("p_partkey"), F.col("p_retailprice").cast("decimal(12,2)").cast("string")
+    shown = (
+        F.when(n == 0, "free").when(n == 1, F.concat(F.lit(" €"), p)).when(n == 2, F.concat(F.lit("$"), p)).when(n == 4, F.concat(F.lit("£ "), F.format_number(k * 1000 + 0.5, 2))).when(n == 5, F.concat(F.lit("€"), k.cast("string"), F.lit(".007")))
+        .when(n == 6, F.concat(F.lit("£"), k.cast("string"), F.lit(".000,50"))).when(n == 7, F.concat(F.lit("€$1,000,"), F.lpad((k % 1000).cast("string"), 3, "0"))).otherwise(p)
+    )
     price, currency = text.price_text(shown, "GBP")
     return r.table("part").select(F.col("p_partkey").alias("id"), price.alias("price"), currency.alias("currency"))
 
@@ -164,18 +182,37 @@ def p23(r: Relations) -> DataFrame:
     return r.table("pages").select("page_id", text.leading_digits(text.slug_of_url(F.col("url"))).alias("product_id"))
 
 
-@query("p25_availability_text", """SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'out_of_stock' WHEN 1 THEN 'in_stock' WHEN 2 THEN 'out_of_stock' WHEN 3 THEN 'preorder' WHEN 4 THEN 'in_stock' ELSE 'unknown' END AS availability FROM events""", prefix=False)
+_SAID = {
+    "Currently Unavailable": "out_of_stock", "IN STOCK (3 left)": "in_stock", "Out of stock": "out_of_stock", "Pre-order now": "preorder", "available": "in_stock", "call us": "unknown", "Coming Soon": "preorder", "preorder": "preorder",
+    "sold out": "out_of_stock", "Not available": "out_of_stock", "": "unknown",
+}
+
+
+def _nth(values, k):
+    """The value of row k of a fixed list, repeating."""
+    return F.element_at(F.array(*map(F.lit, values)), (k % len(values) + 1).cast("int"))
+
+
+def _listed(values) -> str:
+    return "[" + ", ".join("'" + str(v).replace("'", "''") + "'" for v in values) + "]"
+
+
+@query("p25_availability_text", f"SELECT event_id, ({_listed(_SAID.values())})[event_id % {len(_SAID)} + 1] AS availability FROM events", prefix=False)
 def p25(r: Relations) -> DataFrame:
-    said = F.element_at(F.array(*map(F.lit, ["Currently Unavailable", "IN STOCK (3 left)", "Out of stock", "Pre-order now", "available", "call us"])), (F.col("event_id") % 6 + 1).cast("int"))
-    return r.table("events").select("event_id", text.availability_of(said).alias("availability"))
+    return r.table("events").select("event_id", text.availability_of(_nth(_SAID, F.col("event_id"))).alias("availability"))
+
+
+_ANSWERS = [
+    (429, "", "rate_limited"), (503, "", "unavailable"), (403, "", "blocked"), (404, "", "error"), (500, "captcha", "error"), (200, "fine", "ok"), (200, "low maintenance garden", "ok"), (301, "captcha", "ok"), (200, None, "ok"),
+    *[(200, f"<p>{w.upper()}</p>", "blocked") for w in ("captcha", "robot check", "are you a human", "bot detection", "access denied", "verify you are human")],
+    *[(200, f"<p>{w.capitalize()}</p>", "unavailable") for w in ("service unavailable", "under maintenance", "temporarily unavailable", "we'll be back", "sorry for the inconvenience")],
+]
 
 
-@query("v15_response_class", """SELECT event_id, CASE event_id % 7 WHEN 0 THEN 'rate_limited' WHEN 1 THEN 'unavailable' WHEN 2 THEN 'blocked' WHEN 3 THEN 'blocked' WHEN 4 THEN 'unavailable' WHEN 5 THEN 'error' ELSE 'ok' END AS kind FROM events""", prefix=False)
+@query("v15_response_class", f"SELECT event_id, ({_listed(a[2] for a in _ANSWERS)})[event_id % {len(_ANSWERS)} + 1] AS kind FROM events", prefix=False)
 def v15(r: Relations) -> DataFrame:
-    n = (F.col("event_id") % 7 + 1).cast("int")
-    code = F.element_at(F.array(*map(F.lit, [429, 503, 403, 200, 200, 404, 200])), n)
-    body = F.element_at(F.array(*map(F.lit, ["", "", "", "Please solve this CAPTCHA", "down for maintenance", "", "fine"])), n)
-    return r.table("events").select("event_id", mapping.response_class(code, body).alias("kind"))
+    k = F.col("event_id")
+    return r.table("events").select("event_id", mapping.response_class(_nth([a[0] for a in _ANSWERS], k), _nth([a[1] for a in _ANSWERS], k)).alias("kind"))
 
 
 @query("snk04_partition_key", """SELECT regexp_replace(regexp_replace(concat('s ', l_returnflag, '/..', l_suppkey % 5), '[^a-zA-Z0-9\\-_.]', '_', 'g'), '\\.{2,}', '.', 'g') AS segment, strftime(l_shipdate, '%Y') AS year, strftime(l_shipdate, '%m') AS month, count(*) AS n FROM lineitem GROUP BY ALL""", prefix=False)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed values of the contract.
@@ -32,6 +34,8 @@ RECORD = T.StructType([
     T.StructField("currency", T.StringType()), T.StructField("availability", T.StringType()), T.StructField("category", T.StringType()),
     T.StructField("collected_at", T.TimestampType()), T.StructField("listing_id", T.StringType()), T.StructField("seller_id", T.StringType()),
 ])
+#: The same record as it must be stored: the contract's required fields are not null.
+STORED = T.StructType([T.StructField(f.name, f.dataType, i >= 13 or f.name == "price") for i, f in enumerate(RECORD.fields)])
 REQUIRED = tuple(f.name for f in RECORD.fields[:13] if f.name != "price")
 
 _WIDENS = {("int", "bigint"), ("float", "double")}
@@ -59,3 +63,23 @@ def compatibility(old: T.StructType, new: T.StructType) -> str:
     if not changes:
         return "IDENTICAL"
     return "INCOMPATIBLE" if any(b for *_, b in changes) else "COMPATIBLE"
+
+
+#: Types whose values can stand for a declared type: text for times, whole numbers for fractions.
+_STANDS_FOR = {"timestamp": {"timestamp_ntz", "string"}, "timestamp_ntz": {"timestamp", "string"}, "bigint": {"int", "smallint", "tinyint"}, "int": {"smallint", "tinyint"}, "double": {"float", "bigint", "int"}, "float": {"int"}}
+
+
+def row_errors(rows: DataFrame, schema: T.StructType) -> Column:
+    """What a row has against a declared schema, as an array of texts in the schema's order: required fields that are null or missing, and values of a type that
+    cannot stand for the declared one.  Columns that the schema does not have are no error."""
+    have, found = {f.name: f.dataType.simpleString() for f in rows.schema}, []
+    for f in schema.fields:
+        want = f.dataType.simpleString()
+        if f.name not in have:
+            found.append(F.lit(None if f.nullable else f"Missing required field: {f.name}").cast("string"))
+            continue
+        if not f.nullable:
+            found.append(F.when(F.col(f.name).isNull(), f"Required field is null: {f.name}"))
+        if have[f.name] != want and have[f.name] not in _STANDS_FOR.get(want, ()):
+            found.append(F.when(F.col(f.name).isNotNull(), f"Type mismatch for '{f.name}': expected {want}, got {have[f.name]}"))
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")

@@ -172,6 +172,8 @@ def compact(spark: SparkSession, path: str, least_files: int = 5, most_file_byte
         return spark.createDataFrame([], fields)
     stage, report = f"{path}__stage_{uuid.uuid4().hex}", f"{path}__compacted_{uuid.uuid4().hex}"
     found = discover(spark, path).filter(F.col("file_count") >= least_files).select(*PARTS, F.col("file_count").alias("files_before"))
+    if found.isEmpty():
+        return spark.createDataFrame([], fields)
     whole = stored_schema(spark, path)
     source = spark.read.schema(whole).parquet(path).join(found.select(*PARTS), PARTS, "left_semi")
     back, row_bytes = _staged(spark, source, stage)
@@ -181,11 +183,9 @@ def compact(spark: SparkSession, path: str, least_files: int = 5, most_file_byte
         delete(spark, stage)
         raise RuntimeError("staged rows differ from the source; nothing was replaced")
     found.join(after, PARTS).select(*PARTS, "files_before", "rows").orderBy(*PARTS).write.parquet(report)
-    done = spark.read.schema(fields).parquet(report)
-    if not done.isEmpty():
-        _place(back, path, [], row_bytes, most_file_bytes)
+    _place(back, path, [], row_bytes, most_file_bytes)
     delete(spark, stage)
-    return done
+    return spark.read.schema(fields).parquet(report)
 
 
 def try_read(spark: SparkSession, *paths: str) -> DataFrame | None:

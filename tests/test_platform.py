@@ -53,6 +53,36 @@ def test_compaction(spark, rows, tmp_path):
     assert {r.file_count for r in lake.discover(spark, path).collect()} == {1} and lake.compact(spark, path).count() == 0
 
 
+def test_no_column_is_lost(spark, rows, tmp_path):
+    path = f"file://{tmp_path}/wide"
+    lake.write(rows.withColumn("region", F.lit("x")), path)
+    lake.write(rows.filter("event_id = 'evt-0'").withColumn("note", F.lit(1)), path)
+    whole = spark.read.schema(lake.stored_schema(spark, path)).parquet(path)
+    assert {(r.event_id, r.region, r.note) for r in whole.collect()} == {("evt-0", None, 1), *((f"evt-{i}", "x", None) for i in range(1, 5))}
+    one = lake.with_partitions(rows.filter("event_id = 'evt-0'"))
+    for i in range(6):
+        one.withColumns({"event_id": F.lit(f"c{i}"), f"extra{i % 2}": F.lit(i)}).write.mode("append").partitionBy(*lake.PARTS).parquet(path)
+    before = sorted(map(str, spark.read.schema(lake.stored_schema(spark, path)).parquet(path).collect()))
+    assert [r.files_before for r in lake.compact(spark, path).collect()] == [7]
+    after = spark.read.schema(lake.stored_schema(spark, path)).parquet(path)
+    assert {"region", "note", "extra0", "extra1"} <= set(after.columns) and sorted(map(str, after.select(*lake.stored_schema(spark, path).names).collect())) == before
+
+
+def test_a_hot_day_is_many_files(spark, rows, tmp_path):
+    path = f"file://{tmp_path}/hot"
+    many = rows.filter("event_id = 'evt-0'").join(spark.range(20_000)).withColumn("event_id", F.concat(F.lit("h"), F.col("id").cast("string"))).drop("id")
+    lake.write(many, path, most_file_bytes=20_000)
+    files = {r.file_count for r in lake.discover(spark, path).collect()}
+    assert len(files) == 1 and min(files) > 3 and lake.scan(spark, path).count() == 20_000
+
+
+def test_empty_lakes(spark, tmp_path):
+    path = f"file://{tmp_path}/none"
+    assert lake.compact(spark, path).collect() == []
+    (tmp_path / "none").mkdir()
+    assert lake.compact(spark, path).collect() == []
+
+
 def test_warehouse(spark, rows, tmp_path):
     w = Warehouse(spark, f"file://{tmp_path}/wh")
     assert w.load(rows) == {"sources": 2, "products": 1, "source_products": 5, "observations": 5}
@@ -103,6 +133,27 @@ def test_stream_equals_batch_and_restarts_clean(spark, tmp_path):
     assert spark.read.parquet(f"{out}/records").count() == 8
 
 
+def test_order_letters_and_conflicts_of_a_stream(spark, tmp_path):
+    """Equal broken lines are letters of their own; offsets follow the lines; an id with two payloads stays a conflict whichever comes again."""
+    source, out, ck = tmp_path / "in", f"file://{tmp_path}/out", f"file://{tmp_path}/ck"
+    key = "s:p:2026-09-03T08:00:00+00:00"
+    run = lambda: pipeline.run(pipeline.read_messages(spark, str(source)), out, ck).awaitTermination()
+    _land(source, "{bad\n", event(event_id=key), "{bad\n", event(event_id=key, name="other"), event(event_id="plain"))
+    run()
+    assert spark.read.parquet(f"{out}/dead").select("letter_id").distinct().count() == 2
+    first = spark.read.parquet(f"{out}/records").filter("batch = 0")
+    assert sorted(r.offset for r in first.collect()) == [1, 3, 4] and {r.route for r in first.filter(F.col("event_id") == key).collect()} == {"conflict"}
+    for name in ("Test Product", "other", "third"):
+        _land(source, event(event_id=key, name=name), event(event_id="plain"))
+        run()
+    later = spark.read.parquet(f"{out}/records").filter("batch > 0")
+    assert {(r.event_id, r.route) for r in later.collect()} == {(key, "conflict"), ("plain", "duplicate")}
+    slots = {p.name for p in (tmp_path / "out" / "seen").iterdir() if p.is_dir()}
+    assert "slot=2026-09-03" in slots and len(slots) == 2
+    n = spark.read.parquet(f"{out}/metrics").filter("batch = 0").first()
+    assert (n.received, n.valid, n.conflict, n.dead) == (5, 1, 2, 2)
+
+
 def test_event_time(spark, tmp_path):
     rows = [(f"e{i % 3}", datetime(2026, 1, 1, 0, i)) for i in range(9)]
     spark.createDataFrame(rows, "event_id string, ts timestamp").write.parquet(f"file://{tmp_path}/s")

@@ -73,6 +73,15 @@ def test_status(spark):
     assert _status(spark, []) == []
 
 
+def test_one_row_of_a_mass_replay_is_unique(spark):
+    """Rows of one id, equal or not, come from many partitions; one of the first ones in order is unique."""
+    df = spark.range(3000, numPartitions=9).select((F.col("id") % 7).alias("ingest_seq"), F.lit("a").alias("event_id"), F.lit("x").alias("name"), F.lit(1.0).alias("price"))
+    got = records.status(df, payload=["name", "price"]).groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.min("ingest_seq").alias("lo")).collect()
+    assert {r.status: r.n for r in got} == {"unique": 1, "duplicate": 2999} and all(r.lo == 0 for r in got)
+    none = records.status(df.withColumn("event_id", F.lit(None).cast("string")), payload=["name", "price"])
+    assert {r.status: r["count"] for r in none.groupBy("status").count().collect()} == {"unique": 1, "duplicate": 2999}
+
+
 def test_every_row_has_one_route(spark):
     rows, _ = frame(spark, event(), event(), event(event_id="e2", price="-1"), event(event_id="e3"), event(event_id="e3", name="other"), event(event_id="e4", name=None))
     n = {r.route: r["count"] for r in records.route(rows, order="produced_at").groupBy("route").count().collect()}
