@@ -359,3 +359,16 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     stay = groups.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "__key")).alias("first")).select("first.__key")
     gone = groups.select("__key").join(stay, "__key", "left_anti")
     return keyed.join(gone, "__key", "left_anti").select(*docs.columns)
+
+
+#: The query's rows by joining shingles and following links; used as an oracle on small tables.
+NEAR_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+l AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g FROM w),
+u AS MATERIALIZED (SELECT min(doc_id) AS node, g, len(g) AS n FROM l GROUP BY g),
+s AS MATERIALIZED (SELECT node, n, unnest(g) AS g FROM u),
+p AS (SELECT a.node AS a, b.node AS b FROM s AS a JOIN s AS b ON a.g = b.g AND a.node < b.node GROUP BY a.node, b.node HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+e AS MATERIALIZED (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT node AS a, node AS b FROM u UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+k AS (SELECT a AS node, min(b) AS component FROM r GROUP BY a)
+SELECT l.doc_id, len(l.g)::BIGINT AS n_shingles, CASE WHEN len(l.g) = 0 THEN l.doc_id ELSE k.component END AS component_id, CASE WHEN len(l.g) = 0 THEN true ELSE l.doc_id = k.component END AS kept
+FROM l JOIN u ON l.g = u.g JOIN k ON k.node = u.node"""

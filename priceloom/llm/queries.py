@@ -66,4 +66,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": mixing.MIX_SQL, "op7_warc_round_trip": warc.PAGES_SQL, "op9_exact_top_k": bitslice.TOP_SQL, "op10_shard_documents": sharding.SHARD_SQL}
+    return {
+        "op2_mix_sources": mixing.MIX_SQL, "op4_near_duplicates": minhash.NEAR_SQL, "op7_warc_round_trip": warc.PAGES_SQL, "op8_repeated_strings": suffix.REPEATS_SQL,
+        "op9_exact_top_k": bitslice.TOP_SQL, "op10_shard_documents": sharding.SHARD_SQL,
+    }

@@ -398,3 +398,15 @@ def remove_repeats(docs: DataFrame, length: int = 200, keep: str = "first", id_c
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return joined.select(*names, "__spans").mapInArrow(texts, fields)
+
+
+#: The query's rows by grouping every window of 200 bytes; used as an oracle on small tables.
+REPEATS_SQL = """WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+w AS (SELECT doc_id, n, p, md5(array_slice(b, p + 1, p + 200)) AS h FROM (SELECT doc_id, n, b, unnest(range(0, n - 199)) AS p FROM d)),
+g AS (SELECT doc_id, p FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+i AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 200 THEN 0 ELSE 1 END AS new FROM g)),
+s AS (SELECT doc_id, min(p) AS s, max(p) + 200 AS e FROM i GROUP BY doc_id, run),
+k AS (SELECT doc_id, list_sort(list([s, e])) AS spans, sum(e - s)::BIGINT AS gone FROM s GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(len(spans), 0)::BIGINT AS n_spans,
+sha256(CASE WHEN spans IS NULL THEN b ELSE unhex(array_to_string(list_transform(range(0, len(spans) + 1), lambda j: hex(array_slice(b, CASE WHEN j = 0 THEN 1 ELSE spans[j][2] + 1 END, CASE WHEN j = len(spans) THEN n ELSE spans[j + 1][1] END))), '')) END) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)"""
