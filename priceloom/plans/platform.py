@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -15,17 +13,12 @@ from priceloom.operators.warehouse import Warehouse
 from priceloom.plans.records import raw_records
 from priceloom.plans.registry import query
 from priceloom.sources import lake, landed
+from priceloom.sources.rooms import new_path
 from priceloom.views import Relations
 
 
 def _room(r: Relations, name: str) -> str:
-    """A new folder under the shared one; a local one only where there is no cluster (tests)."""
-    base = r.spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not r.spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = f"file://{tempfile.gettempdir()}"
-    return f"{base.rstrip('/')}/priceloom-{name}-{uuid.uuid4().hex}"
+    return new_path(r.spark, name)
 
 
 def _valid(r: Relations) -> DataFrame:

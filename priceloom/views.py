@@ -11,6 +11,10 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from priceloom.sources.rooms import new_path
+
+_listings: dict[tuple, tuple] = {}
+
 AS_OF = "2001-12-01 00:00:00"
 DAYS_BACK = 365
 
@@ -68,7 +72,17 @@ class Relations:
 
     @cached_property
     def listings(self) -> DataFrame:
-        return self.observed.select("source_product_id", "source_id", "product_id").distinct().withColumn("external_id", F.col("product_id").cast("string"))
+        """The dimension as a table of its own: found among all observations once for a session and a state of the data, and read from then on."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.dir}/lineitem.parquet")
+        facts = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        key = (self.spark.sparkContext.applicationId, self.dir, facts.getModificationTime(), facts.getLen())
+        if key not in _listings:
+            found = self.observed.select("source_product_id", "source_id", "product_id").distinct().withColumn("external_id", F.col("product_id").cast("string"))
+            to = new_path(self.spark, "listings")
+            found.write.parquet(to)
+            _listings[key] = to, found.schema
+        to, schema = _listings[key]
+        return self.spark.read.schema(schema).parquet(to)
 
     @cached_property
     def observations(self) -> DataFrame:
