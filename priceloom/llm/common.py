@@ -2,60 +2,18 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import tempfile
-import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+
+from priceloom.sources.rooms import clean, new_path, shared_dir  # noqa: F401
 
 # Arrow's own pool keeps what it has freed; the system's gives it back.
 pa.set_memory_pool(pa.system_memory_pool())
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir``; set here only where it is unset and there is no cluster (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="priceloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-_cleaned: set[str] = set()
-
-
-def _own_dir(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/priceloom/{spark.sparkContext.applicationId}"
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A new place in this application's own folder, which :func:`clean` removes, at the latest when the driver ends."""
-    root = _own_dir(spark)
-    if root not in _cleaned:
-        _cleaned.add(root)
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        atexit.register(_remove, jvm, conf, root)
-    return f"{root}/{name}-{uuid.uuid4().hex}"
-
-
-def _remove(jvm, conf, root: str) -> None:
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    try:
-        path.getFileSystem(conf).delete(path, True)
-    except Exception:  # noqa: BLE001, S110  the JVM may be gone before the driver's Python is; what it left is under the application's id
-        pass
-
-
-def clean(spark: SparkSession) -> None:
-    """Remove all intermediate tables of this application; frames that were not consumed yet are lost."""
-    _remove(spark._jvm, spark._jsc.hadoopConfiguration(), _own_dir(spark))
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet to the shared folder and read it again, so that a lost executor costs no recomputation."""
     path = new_path(df.sparkSession, name)
@@ -63,10 +21,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def texts_of(column: pa.ChunkedArray | pa.Array) -> list[str]:
     """Python strings of a text column; null counts as empty."""
     return [t or "" for t in column.to_pylist()]
