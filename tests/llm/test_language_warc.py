@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +108,18 @@ def test_scores_of_brute_force(spark):
     assert {"ee", "dd"} <= {lang for lang, _ in got}
 
 
+def test_tables_find_rows(monkeypatch):
+    """Also where hashes are equal."""
+    cells = pa.table({"gram": ["a", "b", "b", "\u00e9\u00e9", "zz", "yy"], "at": pa.array([0, 0, 1, 1, 0, 1], pa.int32()), "n": pa.array([1, 2, 3, 4, 5, 6], pa.int64())})
+    grams = ["zz", "x", "b", "a", "", "b", "\u00e9\u00e9", "yy", "yyy"]
+    table = language._table(cells, 2)
+    want = [table.at[g] for g in grams]
+    assert table.find(grams).tolist() == want and table.find([]).tolist() == [] and want.count(-1) == 3
+    monkeypatch.setattr(language, "hash", lambda g: len(g), raising=False)
+    assert language._table(cells, 2).find(grams).tolist() == want
+    assert language._table(cells.slice(0, 0), 2).find(grams).tolist() == [-1] * len(grams)
+
+
 def test_equal_languages_and_hot_texts(spark):
     """Ties go to the name that sorts first; a language of one text, repeated, is learned whatever the sample's size."""
     same = [("alpha beta", "zz"), ("alpha beta", "yy")]
