@@ -108,7 +108,9 @@ def mix_sources(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: in
     dealt = split_units(drawn.select(*_KEY, "__copy", "__block"), shards, seed).groupBy(*_KEY, "__block").agg(F.transform(F.array_sort(F.collect_list(F.struct("__copy", "__shard"))), lambda x: x["__shard"]).alias("shards"))
     ends = _runs(subs.join(blocks.filter("__part").select(*_KEY, "__block", F.col("__get").alias("__of_block")), [*_KEY, "__block"]), [*_KEY, "__block"], "__sub", "__of_block")
     ends = ends.select(*_KEY, "__block", "__sub", F.col("__get").alias("__of_sub"), ((F.col("__get") > 0) & (F.col("__get") < F.col("__n"))).alias("__cut"))
-    plan = blocks.join(dealt, [*_KEY, "__block"], "left")
+    # Written down, so that Spark knows how small they are: rows then meet them where they lie.
+    ends = materialize(ends, "mix-ends")
+    plan = materialize(blocks.join(dealt, [*_KEY, "__block"], "left"), "mix-plan")
     rows = rows.join(plan.select(*_KEY, "__block", "source_size", "target", "copies", "__get", "__part", "shards"), [*_KEY, "__block"]).join(ends, [*_KEY, "__block", "__sub"], "left")
     cut = F.coalesce(F.col("__cut"), F.lit(False))
     # Only rows of a sub-block in which a quota ends are ordered one by one.
