@@ -186,16 +186,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-#: Groups of index blocks; a block of queries goes to each, and there to each of its blocks.
+#: Groups of index blocks, at most; a block of queries goes to each, and there to each of its blocks.
 GROUPS = 256
 
 
 def _meet(packed: DataFrame, stored: DataFrame) -> DataFrame:
-    """A copy of every block of queries for each block of the index: the stated query set against all rows, in blocks."""
-    group = F.pmod(F.xxhash64("block"), F.lit(GROUPS)).cast("int").alias("group")
-    blocks = stored.select("block", group)
-    spread = packed.select(F.explode(F.sequence(F.lit(0), F.lit(GROUPS - 1))).alias("group"), "ids", "values")
-    return spread.join(blocks, "group").select("block", F.lit(1).alias("kind"), "ids", "values")
+    """A copy of every block of queries for each block of the index: the stated query set against all rows, in blocks.  Both sides are dealt by group, so
+    neither is broadcast, whatever its estimated size."""
+    groups = max(1, min(GROUPS, stored.count()))
+    blocks = stored.select("block", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("group"))
+    spread = packed.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), "ids", "values")
+    return spread.hint("merge").join(blocks, "group").select("block", F.lit(1).alias("kind"), "ids", "values")
 
 
 #: The same scores by products of lists; used as an oracle on small tables.
