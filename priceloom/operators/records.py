@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from priceloom.functions.text import strip, to_price, to_utc
 from priceloom.schemas import AVAILABILITY, CURRENCY, EVENT, EVENT_TYPE, RECORD, REQUIRED, SCHEMA_VERSIONS
+from priceloom.sources.rooms import materialize
 
 ERRORS = "_validation_errors"
 
@@ -151,9 +152,13 @@ def status(rows: DataFrame, key: str = "event_id", order: str | list[str] = "ing
     return rows.withColumn("status", F.when(F.col("__in"), named)).drop("__differ", "__again", "__lo", "__hi", "__in")
 
 
-def route(rows: DataFrame, **how) -> DataFrame:
-    """Normalized rows with ``route``: invalid, conflict, duplicate or valid; each row has one.  Invalid rows are no replays and no conflicts."""
-    checked = with_violations(rows)
+def route(rows: DataFrame, store: bool = False, **how) -> DataFrame:
+    """Normalized rows with ``route``: invalid, conflict, duplicate or valid; each row has one.  Invalid rows are no replays and no conflicts.
+
+    Rows are read three times: to count ids, and for ids with one row and with several.  With ``store`` they are normalized and checked once, and written
+    down in the shared folder until the application ends.
+    """
+    checked = materialize(with_violations(rows), "routed") if store else with_violations(rows)
     order = how.get("order", "ingest_seq")
     how.setdefault("payload", [c for c in rows.columns if c != order and c not in order])
     good = status(checked, among=F.col(ERRORS) == "", **how)

@@ -118,7 +118,7 @@ def d02_again(r: Relations) -> DataFrame:
 (SELECT errors, count(DISTINCT payload) OVER (PARTITION BY event_id, errors <> '') AS kinds, row_number() OVER (PARTITION BY event_id, errors <> '' ORDER BY collected_at, source) AS k FROM
 (SELECT event_id, source, collected_at, {ERRORS_SQL} AS errors, concat_ws('|', source, external_id, coalesce(price::VARCHAR, '_'), category, collected_at) AS payload FROM n))) GROUP BY 1""", prefix=False)
 def st03(r: Relations) -> DataFrame:
-    return records.route(_normal(r), order=["collected_at", "source"], payload=["source", "external_id", "price", "category", "collected_at"]).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
+    return records.route(_normal(r), store=True, order=["collected_at", "source"], payload=["source", "external_id", "price", "category", "collected_at"]).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
 
 
 # Source mappings over parts and events.

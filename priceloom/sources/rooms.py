@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _cleaned: set[str] = set()
 
@@ -35,6 +35,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write ``df`` as Parquet to the shared folder and read it again, so that it is computed once and a lost executor costs no recomputation."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _remove(jvm, conf, root: str) -> None:
     try:
         path = jvm.org.apache.hadoop.fs.Path(root)
