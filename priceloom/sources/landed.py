@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from priceloom.operators import records
 from priceloom.schemas import EVENT
-from priceloom.sources.lake import put
+from priceloom.sources.lake import delete, exists, names, put
 
 #: Fixed values of generated events.
 CATEGORIES = ("electronics", "books", "clothing", "home", "sports", "toys", "beauty", "grocery")
@@ -66,16 +66,22 @@ def read_relation(spark: SparkSession, name: str, url: str | None = None, **opti
 
 
 def publish(events: DataFrame, path: str) -> DataFrame:
-    """Write events as messages (a key and a JSON value) to files, one folder for each publication, after checking the texts that are written against the contract.
-    One that breaks it stops the whole publication before anything is visible.  Returns the messages as written; a broker sink takes the same frame."""
+    """Write events as messages (a key and a JSON value) to files, one folder for each publication, checking the texts that are written against the contract
+    as they are written.  One that breaks it stops the whole publication before anything is visible.  Returns the messages as written; a broker sink takes the same frame."""
+    spark, path = events.sparkSession, path.rstrip("/")
     messages = as_messages(events)
-    _, refused = records.parse(messages, strict=True)
-    bad = [r["error"] for r in refused.select("error").limit(5).collect()]
-    if bad:
-        raise ValueError("; ".join(bad))
-    to = f"{path.rstrip('/')}/publication={uuid.uuid4().hex}"
-    messages.write.json(to)
-    return events.sparkSession.read.schema("key string, value string").json(to)
+    to, new = f"{path}/publication={uuid.uuid4().hex}", not exists(spark, path)
+    try:
+        records.verify(messages).write.json(to)
+    except Exception as stopped:
+        delete(spark, to)
+        if new and not names(spark, path):
+            delete(spark, path)
+        bad = [r["error"] for r in records.parse(messages, strict=True)[1].select("error").limit(5).collect()]
+        if bad:
+            raise ValueError("; ".join(bad)) from stopped
+        raise
+    return spark.read.schema("key string, value string").json(to)
 
 
 def publish_validated(rows: DataFrame, path: str) -> DataFrame:

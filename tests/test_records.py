@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from priceloom import schemas
 from priceloom.functions import text
 from priceloom.operators import records
+from priceloom.schemas import EVENT
+from priceloom.sources import landed
 
 DEFAULT = {
     "event_id": "evt-001", "event_type": "product.observation", "schema_version": 1, "source": "test-source", "produced_at": "2026-09-03T08:00:00Z",
@@ -105,3 +107,21 @@ def test_text(spark):
     assert [tuple(r) for r in df.select(price, currency).collect()] == [(Decimal("1234.50"), "GBP"), (None, "GBP"), (Decimal("0.99"), "USD"), (None, None), (Decimal("12.00"), "GBP")]
     seg = spark.createDataFrame([("path/../evil",), ("a b",)], "t string").select(text.path_segment(F.col("t"))).collect()
     assert [r[0] for r in seg] == ["path_._evil", "a_b"]
+
+
+def test_messages_are_parsed_once(spark, tmp_path):
+    """Neither half of a strict parse repeats the parser in its filter; a publication checks what it writes as it writes it, and leaves nothing if refused."""
+    good, bad = ({"event_id": i, "event_type": "product.observation", "schema_version": "1", "source": "s", "produced_at": "2026-01-01T00:00:00Z", "payload": {"external_id": "x", "name": "n", "url": "u", "price": p, "currency": "EUR", "availability": "in_stock", "category": "c", "listing_id": None, "seller_id": None, "collected_at": "2026-01-01T00:00:00Z"}} for i, p in (("a", "1"), ("b", "-1")))
+    lines = spark.createDataFrame([(json.dumps(good),), (json.dumps(bad),), ("{",)], "value string")
+    for half in records.parse(lines, strict=True):
+        assert half._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    events, dead = records.parse(lines, strict=True)
+    assert [r.event_id for r in events.collect()] == ["a"] and {r.error for r in dead.collect()} == {"malformed_json", "contract: payload.price"}
+    frame = lambda *e: spark.createDataFrame(list(e), EVENT)
+    with pytest.raises(ValueError, match="contract: payload.price"):
+        landed.publish(frame(good, bad), str(tmp_path / "refused"))
+    assert not (tmp_path / "refused").exists()
+    kept = landed.publish(frame(good), str(tmp_path / "kept"))
+    with pytest.raises(ValueError):
+        landed.publish(frame(bad), str(tmp_path / "kept"))
+    assert kept.count() == 1 and len(list((tmp_path / "kept").iterdir())) == 1
