@@ -46,8 +46,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ranks = public_tokenizers.path(RANKS)
-    return bpe.decode_documents(bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return bpe.round_trip_documents(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
 STAGES = [("language", keep_languages), ("near", keep_one_of_near_copies), ("repeats", cut_repeats), ("mix", mix), ("tokens", tokenize)]

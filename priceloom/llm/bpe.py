@@ -21,12 +21,20 @@ from tokenizers import pre_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from priceloom.llm.common import batch, slices, texts_of
+from priceloom.llm.common import batch, remembered, slices, texts_of
 from priceloom.session import ship_code
 
 #: Distinct pre-tokens that a worker remembers at once; beyond it the memory starts anew, so it is bounded and results stay the same.
 MEMORY = 120_000
 _loaded: dict = {}
+remembered.append(_loaded)
+#: Columns after the id, by what is asked for.
+_COLUMNS = {
+    "ids": [("ids", pa.binary())],
+    "digests": [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())],
+    "both": [("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded_sha256", pa.string())],
+}
+_TYPES = {pa.binary(): "binary", pa.int64(): "long", pa.string(): "string"}
 
 
 def _latin_class(prop: str) -> str:
@@ -194,7 +202,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, limit: int = 10
         counts, cut = _counter(vocabulary, whole.value)
         get = counts.__getitem__
         schema = None
-        for b in slices(batches):
+        for b in slices(batches, remember=True):
             schema = schema or pa.schema([pa.field("id", b.schema.field(0).type), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
             n_bytes, n_tokens = [], []
             for t in texts_of(b.column(1)):
@@ -271,12 +279,20 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, chunk: int = 32_
     pre-token as long as it), the two chunks' text is pre-tokenised again as one, so the result is exact for any text.
     Null text counts as empty: no ids; an empty table gives no rows; rows that repeat an id and a text are a row each.  Other columns are not read.
     """
-    return _stitched(_encoded(docs, ranks, pattern, chunk, overlap, id_col, text_col), ranks, pattern, id_col, False)
+    return _stitched(_encoded(docs, ranks, pattern, chunk, overlap, id_col, text_col), ranks, pattern, id_col, "ids")
 
 
 def digest_documents(docs: DataFrame, ranks: str, pattern: str, chunk: int = 32_768, overlap: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """As :func:`encode_documents`, then decoded: id, n_tokens, ids_sha256, decoded_sha256; nothing but digests leaves the workers."""
-    return _stitched(_encoded(docs, ranks, pattern, chunk, overlap, id_col, text_col), ranks, pattern, id_col, True)
+    return _stitched(_encoded(docs, ranks, pattern, chunk, overlap, id_col, text_col), ranks, pattern, id_col, "digests")
+
+
+def round_trip_documents(docs: DataFrame, ranks: str, pattern: str, chunk: int = 32_768, overlap: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """:func:`decode_documents` of :func:`encode_documents`, decoded in the worker that encoded: id, n_tokens, ids, decoded_sha256.
+
+    A chain of the two is two workers for each task, which stay with their executor as long as it runs Python.
+    """
+    return _stitched(_encoded(docs, ranks, pattern, chunk, overlap, id_col, text_col), ranks, pattern, id_col, "both")
 
 
 def _encoded(docs: DataFrame, ranks: str, pattern: str, chunk: int, overlap: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, str]:
@@ -288,7 +304,7 @@ def _encoded(docs: DataFrame, ranks: str, pattern: str, chunk: int, overlap: int
     def cut(batches):
         """The chunks of each text, in one pass; a slice's size is bounded, so chunks stream out."""
         schema = None
-        for b in slices(batches, 1 << 20):
+        for b in slices(batches, 1 << 20, remember=True):
             schema = schema or pa.schema([b.schema.field(0), ("row", pa.string()), ("part", pa.int32()), ("text", pa.string())])
             for i in range(b.num_rows):
                 one, text, made = b.column(0).slice(i, 1), b.column(2)[i].as_py(), b.column(1)[i].as_py()
@@ -303,24 +319,23 @@ def _encoded(docs: DataFrame, ranks: str, pattern: str, chunk: int, overlap: int
     return rows.filter(~long), parts.select("id", "row", "times", "part", "text"), id_type, chunk
 
 
-def _stitched(encoded, ranks: str, pattern: str, id_col: str, digest: bool) -> DataFrame:
+def _stitched(encoded, ranks: str, pattern: str, id_col: str, what: str) -> DataFrame:
     short, parts, id_type, chunk = encoded
-    fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else "ids binary"
-    extra = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] if digest else [("ids", pa.binary())]
+    extra = _COLUMNS[what]
+    fields = ", ".join(f"{name} {_TYPES[kind]}" for name, kind in extra)
 
     def whole(batches):
         get, schema = _pieces(ranks, pattern), None
-        for b in slices(batches):
+        for b in slices(batches, remember=True):
             schema = schema or pa.schema([pa.field("id", b.schema.field(0).type), *extra])
             ids = [b"".join(map(get, split(t, pattern))) for t in texts_of(b.column(1))]
-            if digest:
-                yield batch(schema, b.column(0), [len(i) // 4 for i in ids], [hashlib.sha256(i).hexdigest() for i in ids], [hashlib.sha256(decode(i, ranks)).hexdigest() for i in ids])
-            else:
-                yield batch(schema, b.column(0), ids)
+            decoded = [] if what == "ids" else [hashlib.sha256(decode(i, ranks)).hexdigest() for i in ids]
+            own = {"ids": ids, "n_tokens": [len(i) // 4 for i in ids], "ids_sha256": [hashlib.sha256(i).hexdigest() for i in ids] if what == "digests" else [], "decoded_sha256": decoded}
+            yield batch(schema, b.column(0), *(own[name] for name, _ in extra))
 
     def part(batches):
         get, schema = _pieces(ranks, pattern), None
-        for b in slices(batches):
+        for b in slices(batches, remember=True):
             schema = schema or pa.schema([*(b.schema.field(i) for i in range(5)), ("ids", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary())])
             ids, starts, ends = [], [], []
             for p, t in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
@@ -335,14 +350,14 @@ def _stitched(encoded, ranks: str, pattern: str, id_col: str, digest: bool) -> D
     def stitch(batches):
         """Chunks arrive sorted by document and part; ids stream out piece by piece, so a task holds two chunks (and, for ids, one document)."""
         schema, open_key, doc = None, None, None
-        for b in slices(batches, 4 << 20):
+        for b in slices(batches, 4 << 20, remember=True):
             schema = schema or pa.schema([pa.field("id", b.schema.field(0).type), *extra])
             done = []
             for r in b.to_pylist():
                 if (key := (r["id"], r["row"], r["times"])) != open_key:
                     if doc:
                         done += [(open_key[0], *doc.close())] * open_key[2]
-                    open_key, doc = key, _Stitch(ranks, pattern, chunk, digest)
+                    open_key, doc = key, _Stitch(ranks, pattern, chunk, what)
                 doc.add(r)
             if done:
                 yield batch(schema, *zip(*done, strict=True))
@@ -359,17 +374,18 @@ def _stitched(encoded, ranks: str, pattern: str, id_col: str, digest: bool) -> D
 class _Stitch:
     """Joins a document's chunks in order."""
 
-    def __init__(self, ranks: str, pattern: str, chunk: int, digest: bool):
-        self.ranks, self.pattern, self.chunk, self.digest = ranks, pattern, chunk, digest
+    def __init__(self, ranks: str, pattern: str, chunk: int, what: str):
+        self.ranks, self.pattern, self.chunk, self.what = ranks, pattern, chunk, what
         self.n, self.ids_sha, self.raw_sha, self.all, self.held = 0, hashlib.sha256(), hashlib.sha256(), [], None
 
     def _out(self, ids: bytes) -> None:
-        if self.digest:
-            self.n += len(ids) // 4
+        self.n += len(ids) // 4
+        if self.what == "digests":
             self.ids_sha.update(ids)
-            self.raw_sha.update(decode(ids, self.ranks))
         else:
             self.all.append(ids)
+        if self.what != "ids":
+            self.raw_sha.update(decode(ids, self.ranks))
 
     def add(self, r: dict) -> None:
         new = [r["text"], r["part"] * self.chunk, r["ids"], np.frombuffer(r["starts"], "<i8"), np.frombuffer(r["ends"], "<i8"), True]
@@ -394,7 +410,8 @@ class _Stitch:
     def close(self) -> tuple:
         if self.held:
             self._out(self.held[2])
-        return (self.n, self.ids_sha.hexdigest(), self.raw_sha.hexdigest()) if self.digest else (b"".join(self.all),)
+        own = {"ids": b"".join(self.all), "n_tokens": self.n, "ids_sha256": self.ids_sha.hexdigest(), "decoded_sha256": self.raw_sha.hexdigest()}
+        return tuple(own[name] for name, _ in _COLUMNS[self.what])
 
 
 def decode_documents(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -404,7 +421,7 @@ def decode_documents(encoded: DataFrame, ranks: str, id_col: str = "doc_id", ids
 
     def run(batches):
         schema = None
-        for b in slices(batches):
+        for b in slices(batches, remember=True):
             schema = schema or pa.schema([pa.field("id", b.schema.field(0).type), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded_sha256", pa.string())])
             ids = [i or b"" for i in b.column(1).to_pylist()]
             yield batch(schema, b.column(0), [len(i) // 4 for i in ids], ids, [hashlib.sha256(decode(i, ranks)).hexdigest() for i in ids])

@@ -5,11 +5,12 @@ import random
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from priceloom.llm import bpe
+from priceloom.llm import bpe, common
 
 JSON, RANKS, PATTERN = P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN
 
@@ -91,3 +92,39 @@ def test_very_long_texts_at_the_real_chunk(spark):
         want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
     assert sorted(map(str, map(tuple, bpe.digest_documents(docs, RANKS, PATTERN).collect()))) == sorted(map(str, want))
+
+
+def most_workers(df) -> int:
+    """Python maps that a task of the plan runs at once: the longest chain between exchanges."""
+    def chain(node) -> tuple[int, int]:
+        below = [chain(node.children().apply(i)) for i in range(node.children().size())]
+        here, most = max((b[0] for b in below), default=0), max((b[1] for b in below), default=0)
+        here = 0 if "Exchange" in node.nodeName() else here + ("MapInArrow" in node.nodeName())
+        return here, max(here, most)
+
+    return chain(df._jdf.queryExecution().executedPlan().executedPlan())[1]
+
+
+def test_round_trip_is_one_worker_a_task(spark, docs, texts):
+    out = bpe.round_trip_documents(docs, RANKS, PATTERN, 700, 64)
+    chained = bpe.decode_documents(bpe.encode_documents(docs, RANKS, PATTERN, 700, 64), RANKS)
+    assert most_workers(chained) == 2  # before it is run: then stages stand for their plans
+    assert most_workers(out) == 1
+    assert out.dtypes == chained.dtypes
+    assert sorted(map(str, out.collect())) == sorted(map(str, chained.collect()))
+    assert len(texts) + 1 == out.count()
+    assert bpe.round_trip_documents(docs.limit(0), RANKS, PATTERN).collect() == []
+
+
+def test_pipeline_tokens_are_one_worker_a_task(spark, docs):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    assert most_workers(pipeline.tokenize(spark, docs, None)) == 1
+
+
+def test_workers_remember_for_one_operator():
+    b = pa.record_batch({"x": [1]})
+    bpe.decode(b"", RANKS)
+    common.powers(common.BASE, 10)
+    assert list(common.slices([b], remember=True)) == [b] and bpe._loaded and not common._powers
+    common.PrimeHash(np.zeros(10, np.uint8))
+    assert list(common.slices([b])) == [b] and not bpe._loaded and not common._residues
