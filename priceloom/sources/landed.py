@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from priceloom.operators import records
 from priceloom.schemas import EVENT
-from priceloom.sources.lake import delete, exists, names, put
+from priceloom.sources.lake import delete, move, put
+from priceloom.sources.rooms import tagged
 
 #: Fixed values of generated events.
 CATEGORIES = ("electronics", "books", "clothing", "home", "sports", "toys", "beauty", "grocery")
@@ -67,20 +68,24 @@ def read_relation(spark: SparkSession, name: str, url: str | None = None, **opti
 
 def publish(events: DataFrame, path: str) -> DataFrame:
     """Write events as messages (a key and a JSON value) to files, one folder for each publication, checking the texts that are written against the contract
-    as they are written.  One that breaks it stops the whole publication before anything is visible.  Returns the messages as written; a broker sink takes the same frame."""
+    as they are written.  One that breaks it stops the whole publication before anything is visible.  Returns the messages as written; a broker sink takes the same frame.
+
+    Messages are written beside ``path`` and moved there as a whole: tasks outlive the job that one of them failed, and make the folders anew in which they write.
+    """
     spark, path = events.sparkSession, path.rstrip("/")
-    messages = as_messages(events)
-    to, new = f"{path}/publication={uuid.uuid4().hex}", not exists(spark, path)
-    try:
-        records.verify(messages).write.json(to)
-    except Exception as stopped:
-        delete(spark, to)
-        if new and not names(spark, path):
-            delete(spark, path)
-        bad = [r["error"] for r in records.parse(messages, strict=True)[1].select("error").limit(5).collect()]
-        if bad:
-            raise ValueError("; ".join(bad)) from stopped
-        raise
+    messages, name = as_messages(events), uuid.uuid4().hex
+    to, stage = f"{path}/publication={name}", f"{path}__stage_{name}"
+    with tagged(spark, f"publication-{name}") as settle:
+        try:
+            records.verify(messages).write.json(stage)
+        except Exception as stopped:
+            settle()
+            delete(spark, stage)
+            bad = [r["error"] for r in records.parse(messages, strict=True)[1].select("error").limit(5).collect()]
+            if bad:
+                raise ValueError("; ".join(bad)) from stopped
+            raise
+    move(spark, stage, to)
     return spark.read.schema("key string, value string").json(to)
 
 

@@ -1,6 +1,7 @@
 """Flatten, normalize, validate, replays and conflicts, on small literal frames."""
 
 import json
+import time
 from decimal import Decimal
 
 import pytest
@@ -125,3 +126,16 @@ def test_messages_are_parsed_once(spark, tmp_path):
     with pytest.raises(ValueError):
         landed.publish(frame(bad), str(tmp_path / "kept"))
     assert kept.count() == 1 and len(list((tmp_path / "kept").iterdir())) == 1
+
+
+def test_a_late_task_of_a_refused_publication_leaves_nothing(spark, tmp_path):
+    """One task refuses its row at once; the other one comes to its first row, and makes its file, when the job has failed."""
+    sums = lambda to, f: F.aggregate(F.sequence(F.lit(1), to), F.lit(0), f)
+    late = sums(F.col("id").cast("int") * 6000, lambda a, x: (a + sums(F.lit(6000), lambda b, y: (b + y * x) % 7)) % 7).cast("string")  # seconds that no interrupt ends
+    said = {"external_id": F.lit("x"), "name": F.when(F.col("id") == 1, F.concat(F.lit("n"), late)).otherwise("n"), "url": F.lit("u"), "price": F.when(F.col("id") == 0, "-1").otherwise("1"), "currency": F.lit("EUR"), "availability": F.lit("in_stock"), "category": F.lit("c"), "listing_id": F.lit(None).cast("string"), "seller_id": F.lit(None).cast("string"), "collected_at": F.lit("2026-01-01T00:00:00Z")}
+    e = {"event_id": F.lit("a"), "event_type": F.lit("product.observation"), "schema_version": F.lit("1"), "source": F.lit("s"), "produced_at": F.lit("2026-01-01T00:00:00Z"), "payload": F.struct(*[c.alias(n) for n, c in said.items()])}
+    events = spark.range(2, numPartitions=2).select(*[c.alias(n) for n, c in e.items()])
+    with pytest.raises(ValueError, match="contract: payload.price"):
+        landed.publish(events, str(tmp_path / "refused"))
+    time.sleep(4)
+    assert not list(tmp_path.iterdir())
